@@ -1,5 +1,9 @@
 """Keyed counting and point geometry on Spark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from tallyspan.functions.keys import SEED, partition_key, random_order
 from tallyspan.functions.text import split_tokens
 from tallyspan.functions.vectors import distance, squared_distance
@@ -42,7 +46,11 @@ from tallyspan.sources import (
     numbered_lines,
     points_from_table,
     read_lines,
+    spread_over_cores,
     write_lines,
 )
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+# Task functions travel with their jobs: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+__all__ = [name for name in dir() if not name.startswith("_") and name not in ("sys", "cloudpickle")]

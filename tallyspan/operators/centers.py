@@ -7,7 +7,7 @@ part may be larger than any executor:
 
 1. Each map task computes its points' distance to the nearest center of their
    part and keeps the farthest few of every part, the *pool*.
-2. The pools are merged per part, in two steps.
+2. The pools are merged per part, in two steps when there are many map tasks.
 3. One task per part runs the traversal on the merged pool. Distances to the
    nearest center only ever shrink, so a pool point is the farthest of its part
    for certain while it still ranks before the last point the pool had room
@@ -35,12 +35,14 @@ from tallyspan.functions.vectors import distance
 from tallyspan.session import checkpointed
 from tallyspan.sources.points import dimension_of
 
-# Most pool points of one part, and bytes of all parts' pools in one task.
-POOL_ROWS = 64
+# Most pool points of one part in a map task, the bytes of its pools of all
+# parts, and the bytes of one part's pools from as many tasks as are merged.
+POOL_ROWS = 256
 POOL_BYTES = 16 << 20
+MERGE_BYTES = 64 << 20
+MERGE_TASKS = 256
 # Centers per part compared in each pass before the distances are written down.
 REFRESH_AFTER = 64
-_MERGE_TASKS = 256
 _JOIN_SALTS = 64
 
 CENTER_SCHEMA = (
@@ -165,8 +167,8 @@ def _pools(state: DataFrame, centers: _Centers, rows: int, open_parts: dict) ->
 
 
 def _merge_pools(pools: DataFrame, rows: int) -> DataFrame:
-    """Keep the first ``rows`` of each part in each of up to 256 groups of tasks."""
-    salted = pools.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(_MERGE_TASKS)))
+    """Keep the first ``rows`` of each part in each of a bounded number of groups."""
+    salted = pools.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(MERGE_TASKS)))
     within = Window.partitionBy("part", "salt").orderBy(F.desc("nearest"), "point_id")
     placed = salted.withColumn("place", F.row_number().over(within))
     return placed.filter(F.col("place") <= rows).drop("salt", "place")
@@ -216,10 +218,13 @@ def _traverse_pool(pools: DataFrame, rows: int, room: dict[int, int]) -> DataFra
 
 
 def _first_centers(keyed: DataFrame, seed: int, first_ids) -> DataFrame:
-    """``(part, point_id, features)``: the first center of each part."""
+    """``(part, point_id, features, tasks)``: the first center of each part.
+
+    ``tasks`` is how many map tasks read the part, if that is known.
+    """
     if first_ids is not None:
         chosen = keyed.filter(F.col("point_id").isin([int(i) for i in first_ids]))
-        return chosen.select("part", "point_id", "features")
+        return chosen.select("part", "point_id", "features", F.lit(None).cast("int").alias("tasks"))
 
     def first(batches):
         kept = None
@@ -239,8 +244,11 @@ def _first_centers(keyed: DataFrame, seed: int, first_ids) -> DataFrame:
     ordered = keyed.withColumn("key", random_order("point_id", seed))
     schema = "part bigint, point_id bigint, key bigint, features array<double>"
     per_task = ordered.select("part", "point_id", "key", "features").mapInArrow(first, schema)
-    best = per_task.groupBy("part").agg(F.min(F.struct("key", "point_id", "features")).alias("b"))
-    return best.select("part", "b.point_id", "b.features")
+    best = per_task.groupBy("part").agg(
+        F.min(F.struct("key", "point_id", "features")).alias("best"),
+        F.count(F.lit(1)).cast("int").alias("tasks"),
+    )
+    return best.select("part", "best.point_id", "best.features", "tasks")
 
 
 def _with_distances(state: DataFrame, centers: _Centers, keep_features: bool) -> DataFrame:
@@ -299,13 +307,20 @@ def k_center(
     if not rows:
         return spark.createDataFrame([], CENTER_SCHEMA)
     centers = _Centers(rows)
-    pool_rows = max(1, min(pool_rows, POOL_BYTES // (num_parts * (8 * dimension + 32))))
+    row_bytes = 8 * dimension + 32
+    pool_rows = min(
+        pool_rows, POOL_BYTES // (num_parts * row_bytes), MERGE_BYTES // (MERGE_TASKS * row_bytes)
+    )
+    pool_rows = max(1, pool_rows)
+    few_tasks = all(row["tasks"] and row["tasks"] <= MERGE_TASKS for row in rows)
     state = keyed
     while room := centers.room(k):
         if len(centers.fresh()) > REFRESH_AFTER:
             state = checkpointed(_with_distances(state, centers, keep_features=True))
             centers.settle()
-        pools = _merge_pools(_pools(state, centers, pool_rows, room), pool_rows)
+        pools = _pools(state, centers, pool_rows, room)
+        if not few_tasks:
+            pools = _merge_pools(pools, pool_rows)
         settled = _traverse_pool(pools, pool_rows, room).collect()
         reached = set()
         for row in sorted(settled, key=lambda row: (row["part"], row["step"])):

@@ -135,7 +135,7 @@ def max_distance_to(points: DataFrame, sample: DataFrame, k: int) -> DataFrame:
         sample = checkpointed(sample)
     maxima = None
     for share in range(shares):
-        rows = sample.filter(F.pmod(F.xxhash64("draw"), F.lit(shares)) == share)
+        rows = sample if shares == 1 else sample.filter(F.pmod(F.xxhash64("draw"), F.lit(shares)) == share)
         targets = np.array([row["features"] for row in rows.select("features").collect()])
         found = _max_distance_to(points, targets)
         maxima = found if maxima is None else maxima.unionByName(found)

@@ -3,6 +3,7 @@
 from tallyspan.sources.lines import numbered_lines, read_lines, write_lines
 from tallyspan.sources.pairs import decode_pairs, encode_pairs
 from tallyspan.sources.points import decode_points, dimension_of, encode_points, points_from_table
+from tallyspan.sources.tables import spread_over_cores
 
 __all__ = [
     "decode_pairs",
@@ -13,5 +14,6 @@ __all__ = [
     "numbered_lines",
     "points_from_table",
     "read_lines",
+    "spread_over_cores",
     "write_lines",
 ]
