@@ -1,7 +1,8 @@
 """NumPy helpers for the Arrow tasks: small functions on one batch or block.
 
-All distances come from :func:`squared_norms` of coordinate differences, so a
-pair has the same distance to the last bit in whatever batch it is computed.
+All distances come from :func:`squared_distances`, from coordinate differences
+summed row by row, so a pair has the same distance to the last bit in whatever
+batch it is computed. Work is cut to pieces that stay in a core's cache.
 """
 
 from __future__ import annotations
@@ -9,9 +10,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-# Rows compared at once; bounds the scratch memory of a task.
-_SLICE = 16_384
-_STRIP = 256
+# Numbers in one piece of scratch memory, and the tile of a block pair.
+_SCRATCH = 32_768
+_TILE_ROWS = 256
+_TILE_COLUMNS = 1_024
 
 
 def feature_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -37,13 +39,23 @@ def feature_column(matrix: np.ndarray) -> pa.ListArray:
     )
 
 
-def squared_norms(differences: np.ndarray) -> np.ndarray:
-    return np.square(differences).sum(axis=1)
+def squared_distances(matrix: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Squared distance of every row to one point, or row by row to equally many."""
+    if len(matrix) and matrix.shape[1] != target.shape[-1]:
+        raise ValueError("points have different dimensions")
+    out = np.empty(len(matrix))
+    step = max(1, _SCRATCH // max(matrix.shape[1], 1))
+    for start in range(0, len(matrix), step):
+        rows = slice(start, start + step)
+        difference = matrix[rows] - (target if target.ndim == 1 else target[rows])
+        out[rows] = np.square(difference, out=difference).sum(axis=1)
+    return out
 
 
 def distances_to(matrix: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Distance of every row to one point, or row by row to equally many."""
-    return np.sqrt(squared_norms(matrix - target))
+    squares = squared_distances(matrix, target)
+    return np.sqrt(squares, out=squares)
 
 
 def first_rows(group: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: int) -> np.ndarray:
@@ -58,16 +70,20 @@ def first_rows(group: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: int)
 
 
 class FarthestPairs:
-    """The first ``rows`` pairs by (squared distance descending, i, j)."""
+    """The first ``rows`` pairs by (squared distance descending, i, j).
+
+    Pairs of a squared distance below ``floor`` are of no interest.
+    """
 
-    def __init__(self, rows: int):
+    def __init__(self, rows: int, floor: float = -np.inf):
         self.rows = rows
+        self.floor = floor
         self.d2 = np.empty(0)
         self.i = np.empty(0, np.int64)
         self.j = np.empty(0, np.int64)
 
     def _floor(self) -> float:
-        return self.d2[-1] if len(self.d2) == self.rows else -np.inf
+        return self.d2[-1] if len(self.d2) == self.rows else self.floor
 
     def _add(self, d2: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         keep = d2 >= self._floor()
@@ -80,35 +96,67 @@ class FarthestPairs:
     def compare(self, ids_a, a, ids_b, b, same_block: bool) -> None:
         """Take in all pairs of two blocks, or of one block with itself.
 
-        A matrix product gives every squared distance up to rounding. Only the
-        pairs that may still be among the first, allowing for its error bound,
-        are computed again from the differences, and those values count.
+        A matrix product gives the squared distances of a tile up to rounding.
+        Only the pairs that may still be among the first, allowing for its
+        error bound, are computed again from the differences, and those values
+        count.
         """
         center = a.mean(axis=0)
-        ca, cb = a - center, b - center
-        na, nb = squared_norms(ca), squared_norms(cb)
-        width = a.shape[1]
-        eps = np.finfo(np.float64).eps
-        reach = na.max() + nb.max()
-        largest = max(np.abs(part).max(initial=0) for part in (a, b, center))
-        shift = 2 * eps * largest
-        slack = 4 * (width + 8) * eps * reach
-        slack += 8 * shift * np.sqrt(width * reach) + 8 * width * shift**2
-        for start in range(0, len(a), _STRIP):
-            stop = min(start + _STRIP, len(a))
-            rough = na[start:stop, None] + nb[None, :] - 2.0 * (ca[start:stop] @ cb.T)
-            if same_block:
-                rough[np.arange(start, stop)[:, None] >= np.arange(len(b))[None, :]] = -np.inf
-            open_ = rough >= max(self._floor() - slack, np.finfo(np.float64).min)
-            found = np.count_nonzero(open_)
+        ids_a, a, ca, na = _outermost_first(ids_a, a, center)
+        ids_b, b, cb, nb = _outermost_first(ids_b, b, center)
+        slack = _rounding_bound(a, b, center, na[0] + nb[0])
+        # |x|^2 + |y|^2 - 2xy as one product
+        left = np.column_stack([-2.0 * ca, na, np.ones(len(a))])
+        right = np.column_stack([cb, np.ones(len(b)), nb]).T
+        for top in range(0, len(a), _TILE_ROWS):
+            rows = slice(top, min(top + _TILE_ROWS, len(a)))
+            for edge in range(0, len(b), _TILE_COLUMNS):
+                columns = slice(edge, min(edge + _TILE_COLUMNS, len(b)))
+                if same_block and columns.stop <= rows.start + 1:
+                    continue
+                # no distance here or further right exceeds the sum of the radii
+                if (np.sqrt(na[top]) + np.sqrt(nb[edge])) ** 2 < self._floor() - slack:
+                    break
+                rough = left[rows] @ right[:, columns]
+                if same_block and columns.start < rows.stop:
+                    at = np.arange(rows.start, rows.stop)[:, None]
+                    rough[at >= np.arange(columns.start, columns.stop)] = -np.inf
+                self._take(rough, slack, ids_a[rows], a[rows], ids_b[columns], b[columns])
+
+    def _take(self, rough, slack, ids_a, a, ids_b, b) -> None:
+        cut = max(self._floor() - slack, np.finfo(np.float64).min)
+        if rough.max() < cut:
+            return
+        if self.rows == 1:
+            possible = rough >= max(cut, rough.max() - 2 * slack)
+        else:
+            possible = rough >= cut
+            found = np.count_nonzero(possible)
             if found > self.rows:
-                values = rough[open_]
-                last = np.partition(values, found - self.rows)[found - self.rows]
-                open_ &= rough >= last - 2 * slack
-            rows, columns = np.nonzero(open_)
-            for first in range(0, len(rows), _SLICE):
-                x, y = rows[first : first + _SLICE] + start, columns[first : first + _SLICE]
-                self._add(squared_norms(a[x] - b[y]), ids_a[x], ids_b[y])
+                last = np.partition(rough[possible], found - self.rows)[found - self.rows]
+                possible &= rough >= last - 2 * slack
+        x, y = np.nonzero(possible)
+        step = max(1, 8 * _SCRATCH // max(a.shape[1], 1))
+        for first in range(0, len(x), step):
+            i, j = x[first : first + step], y[first : first + step]
+            self._add(squared_distances(a[i], b[j]), ids_a[i], ids_b[j])
+
+
+def _outermost_first(ids: np.ndarray, matrix: np.ndarray, center: np.ndarray):
+    """Ids, points, offsets from the center and their squared lengths, longest first."""
+    offsets = matrix - center
+    squares = np.square(offsets).sum(axis=1)
+    order = np.lexsort((ids, -squares))
+    return ids[order], matrix[order], offsets[order], squares[order]
+
+
+def _rounding_bound(a, b, center, reach: float) -> float:
+    """Bound on the error of a squared distance from the centered product."""
+    width = a.shape[1]
+    eps = np.finfo(np.float64).eps
+    shift = 2 * eps * max(np.abs(part).max(initial=0) for part in (a, b, center))
+    bound = 4 * (width + 8) * eps * reach
+    return bound + 8 * shift * np.sqrt(width * reach) + 8 * width * shift**2
 
 
 def distance_sum(a: np.ndarray, b: np.ndarray, same_block: bool) -> tuple[float, int]:

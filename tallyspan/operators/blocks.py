@@ -55,7 +55,7 @@ def _block_pairs(points: DataFrame, blocks: int) -> DataFrame:
 
 
 def _sides(table: pa.Table):
-    """The two blocks of a group as (ids, matrix), each in id order."""
+    """The two blocks of a group as (ids, matrix), in id order whatever came first."""
     ids = table["point_id"].to_numpy()
     block = table["block"].to_numpy()
     matrix = feature_matrix(table["features"])
@@ -68,11 +68,14 @@ def _sides(table: pa.Table):
     return sides[0], sides[1], low == high
 
 
-def farthest_pairs(points: DataFrame, rows: int, n: int | None = None) -> DataFrame:
+def farthest_pairs(
+    points: DataFrame, rows: int, n: int | None = None, floor: float = float("-inf")
+) -> DataFrame:
     """``(i, j, d2)``: the ``rows`` farthest pairs of points, i < j.
 
     In order of squared distance, largest first, and then of i and j. ``n``
-    saves a count when the number of points is known.
+    saves a count when the number of points is known; a known squared distance
+    that the pairs wanted at least have, as ``floor``, saves comparisons.
     """
     if n is None:
         n = points.count()
@@ -80,7 +83,7 @@ def farthest_pairs(points: DataFrame, rows: int, n: int | None = None) -> DataFr
 
     def compare(table: pa.Table) -> pa.Table:
         (ids_a, a), (ids_b, b), same = _sides(table)
-        best = FarthestPairs(rows)
+        best = FarthestPairs(rows, floor)
         if len(a) and len(b):
             best.compare(ids_a, a, ids_b, b, same)
         return pa.table({"i": best.i, "j": best.j, "d2": best.d2})

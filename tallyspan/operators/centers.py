@@ -37,9 +37,9 @@ from tallyspan.sources.points import dimension_of
 
 # Most pool points of one part in a map task, the bytes of its pools of all
 # parts, and the bytes of one part's pools from as many tasks as are merged.
-POOL_ROWS = 256
+POOL_ROWS = 1_024
 POOL_BYTES = 16 << 20
-MERGE_BYTES = 64 << 20
+MERGE_BYTES = 128 << 20
 MERGE_TASKS = 256
 # Centers per part compared in each pass before the distances are written down.
 REFRESH_AFTER = 64
@@ -122,8 +122,6 @@ def _nearest(batch: pa.RecordBatch, parts: np.ndarray, fresh: np.ndarray):
         nearest = batch.column("min_dist").to_numpy(zero_copy_only=False).copy()
     else:
         nearest = np.full(len(ids), np.inf)
-    if len(ids) and fresh.size and matrix.shape[1] != fresh.shape[2]:
-        raise ValueError("points have different dimensions")
     for centers in fresh:
         dist = distances_to(matrix, centers[0] if len(parts) == 1 else centers[at])
         dist[strangers] = np.nan
@@ -308,11 +306,12 @@ def k_center(
         return spark.createDataFrame([], CENTER_SCHEMA)
     centers = _Centers(rows)
     row_bytes = 8 * dimension + 32
-    pool_rows = min(
-        pool_rows, POOL_BYTES // (num_parts * row_bytes), MERGE_BYTES // (MERGE_TASKS * row_bytes)
-    )
-    pool_rows = max(1, pool_rows)
     few_tasks = all(row["tasks"] and row["tasks"] <= MERGE_TASKS for row in rows)
+    merged = max(row["tasks"] for row in rows) if few_tasks else MERGE_TASKS
+    pool_rows = max(
+        1,
+        min(pool_rows, POOL_BYTES // (num_parts * row_bytes), MERGE_BYTES // (merged * row_bytes)),
+    )
     state = keyed
     while room := centers.room(k):
         if len(centers.fresh()) > REFRESH_AFTER:

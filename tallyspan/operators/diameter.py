@@ -68,8 +68,10 @@ def _farthest(points: DataFrame, target: np.ndarray) -> tuple[float, np.ndarray]
     return row["dist"], np.array(row["features"])
 
 
-def outer_points(points: DataFrame, n: int) -> DataFrame:
-    """The points that can end a longest pair; a few passes, no shuffle of points.
+def outer_points(points: DataFrame, n: int) -> tuple[DataFrame, float]:
+    """The points that can end a longest pair, and the length of a long pair.
+
+    It takes a few passes and no shuffle of points.
 
     Let R be the largest distance from the mean, and LB the length of a long
     pair, found by walking twice to the farthest point. Both ends of a pair at
@@ -83,7 +85,7 @@ def outer_points(points: DataFrame, n: int) -> DataFrame:
     length = max(length, _farthest(points, end)[0])
     bound = (length - radius) - 1e-9 * (length + radius + np.abs(mean).max(initial=0.0))
     if bound <= 0:
-        return points
+        return points, length
 
     def keep(batches):
         for batch in batches:
@@ -93,7 +95,7 @@ def outer_points(points: DataFrame, n: int) -> DataFrame:
     kept = points.select("point_id", "features").mapInArrow(
         keep, "point_id bigint, features array<double>"
     )
-    return checkpointed(kept)
+    return checkpointed(kept), length
 
 
 def exact_mpd(points: DataFrame, n: int | None = None) -> DataFrame:
@@ -104,10 +106,12 @@ def exact_mpd(points: DataFrame, n: int | None = None) -> DataFrame:
     """
     if n is None:
         n = points.count()
+    floor = 0.0
     if n > PRUNE_ABOVE:
-        points = outer_points(points, n)
+        points, length = outer_points(points, n)
+        floor = (length * (1 - 1e-9)) ** 2
         n = points.count()
-    farthest = farthest_pairs(points, 1, n)
+    farthest = farthest_pairs(points, 1, n, floor)
     return farthest.agg(F.coalesce(F.sqrt(F.max("d2")), F.lit(0.0)).alias("max_distance"))
 
 

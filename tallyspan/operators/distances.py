@@ -4,14 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallyspan.functions.vectors import squared_distance
+from tallyspan.functions.kernels import feature_matrix, squared_distances
 
 
 def point_distances(points: DataFrame, place: Sequence[float]) -> DataFrame:
-    """``(point_id, d2, d)``: squared and plain distance of each point to ``place``."""
-    target = F.array(*[F.lit(float(x)) for x in place])
-    d2 = points.select("point_id", squared_distance("features", target).alias("d2"))
-    return d2.withColumn("d", F.sqrt("d2"))
+    """``(point_id, d2, d)``: squared and plain distance of each point to ``place``.
+
+    The same as :func:`tallyspan.squared_distance` and :func:`tallyspan.distance`
+    to a literal array, at half their time for wide points.
+    """
+    target = np.array([float(x) for x in place])
+
+    def measure(batches):
+        for batch in batches:
+            d2 = squared_distances(feature_matrix(batch.column("features")), target)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("point_id"), pa.array(d2), pa.array(np.sqrt(d2))],
+                names=["point_id", "d2", "d"],
+            )
+
+    return points.select("point_id", "features").mapInArrow(
+        measure, "point_id bigint, d2 double, d double"
+    )

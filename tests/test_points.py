@@ -176,10 +176,20 @@ def test_point_lines(spark):
 
 
 def test_point_distances(make_points):
-    found = ts.point_distances(make_points(RECT), (0, 0)).orderBy("point_id").collect()
-    assert [(r["d2"], r["d"]) for r in found] == [
-        (0.0, 0.0), (25.0, 5.0), (100.0, 10.0), (64.0, 8.0), (36.0, 6.0),
-    ]
+    points = make_points(RECT)
+    for place in ((0,), (0, 0, 0)):
+        with pytest.raises(Exception, match="different dimensions"):
+            ts.point_distances(points, place).collect()
+    origin = F.array(F.lit(0.0), F.lit(0.0))
+    as_columns = points.select(
+        "point_id",
+        ts.squared_distance("features", origin).alias("d2"),
+        ts.distance("features", origin).alias("d"),
+    )
+    for df in (ts.point_distances(points, (0, 0)), as_columns):
+        assert [(r["d2"], r["d"]) for r in df.orderBy("point_id").collect()] == [
+            (0.0, 0.0), (25.0, 5.0), (100.0, 10.0), (64.0, 8.0), (36.0, 6.0),
+        ]
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):

@@ -174,6 +174,18 @@ def test_pair_kernel_is_exact_far_from_the_origin(offset, scale):
         assert best.d2.tolist() == d2[first].tolist()
 
 
+@pytest.mark.parametrize("width", [2, 8])
+def test_pair_kernel_skips_tiles_exactly(width):
+    x = np.random.default_rng(width).normal(size=(3000, width))
+    i, j = np.triu_indices(3000, 1)
+    d2 = np.square(x[i] - x[j]).sum(axis=1)
+    first = np.lexsort((j, i, -d2))[:20]
+    for floor in (-np.inf, 0.0, d2[first[-1]]):
+        best = FarthestPairs(20, floor)
+        best.compare(np.arange(3000), x, np.arange(3000), x, True)
+        assert best.i.tolist() == i[first].tolist() and best.j.tolist() == j[first].tolist()
+
+
 def test_distance_sum_kernel():
     x = grid(20, 3, seed=1)
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
@@ -186,7 +198,7 @@ def test_outer_points_keep_the_longest_pair(make_points, monkeypatch, width):
     monkeypatch.setattr(diameter, "PRUNE_ABOVE", 10)
     x = 100 + np.random.default_rng(width).normal(size=(400, width))
     points = make_points(x)
-    assert diameter.outer_points(points, 400).count() < 400
+    assert diameter.outer_points(points, 400)[0].count() < 400
     d = np.sqrt(np.square(x[:, None] - x[None]).sum(-1))
     assert ts.exact_mpd(points).first()[0] == pytest.approx(d.max(), abs=1e-12)
 
