@@ -33,7 +33,7 @@ from tallyspan.functions.kernels import distances_to, feature_column, feature_ma
 from tallyspan.functions.keys import SEED, random_order
 from tallyspan.functions.vectors import distance
 from tallyspan.session import checkpointed
-from tallyspan.sources.points import dimension_of
+from tallyspan.sources.points import dimension_of, with_dimension
 
 # Most pool points of one part in a map task, the bytes of its pools of all
 # parts, and the bytes of one part's pools from as many tasks as are merged.
@@ -112,7 +112,10 @@ class _Centers:
 
 
 def _nearest(batch: pa.RecordBatch, parts: np.ndarray, fresh: np.ndarray):
-    """Part numbers, ids, coordinates and distance to the nearest center."""
+    """Part numbers, ids, coordinates and distance to the nearest center.
+
+    The distance is infinite in a part that has no center.
+    """
     part = batch.column("part").to_numpy()
     ids = batch.column("point_id").to_numpy()
     matrix = feature_matrix(batch.column("features"))
@@ -146,8 +149,8 @@ def _pools(state: DataFrame, centers: _Centers, rows: int, open_parts: dict) ->
         floor = np.full(len(parts), -np.inf)
         for batch in batches:
             part, ids, matrix, nearest = _nearest(batch, parts, fresh)
-            at = np.searchsorted(parts, part)
-            keep = np.flatnonzero(wanted[at] & (nearest >= floor[at]))
+            at = np.minimum(np.searchsorted(parts, part), len(parts) - 1)
+            keep = np.flatnonzero(wanted[at] & (nearest >= floor[at]) & np.isfinite(nearest))
             keep = keep[~np.isin(ids[keep], chosen)]
             found = [x[keep] for x in (part, ids, nearest, matrix)]
             pool = found if pool is None else [np.concatenate(x) for x in zip(pool, found)]
@@ -286,7 +289,7 @@ def k_center(
     ``distance`` is the distance to the nearest earlier center, NULL at rank 1.
     Of equally far points the lowest id is next; a point is chosen only once,
     and a part of fewer than k points gives all of them. ``first_ids`` sets the
-    first centers, one per part.
+    first centers, one for each part that shall have centers.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -294,11 +297,10 @@ def k_center(
     num_parts = 1 if num_parts is None else num_parts
     dimension = dimension_of(points)
     keyed = keyed.select(F.col("part").cast("bigint").alias("part"), "point_id", "features")
-    firsts = _first_centers(keyed, seed, first_ids)
     if _center_bytes(num_parts, k, dimension) > session.SMALL_BYTES:
-        return _centers_by_join(keyed, firsts, k)
+        return with_dimension(_centers_by_join(keyed, k, seed, first_ids), dimension)
 
-    rows = firsts.limit(num_parts + 1).collect()
+    rows = _first_centers(keyed, seed, first_ids).limit(num_parts + 1).collect()
     if len({row[0] for row in rows}) != len(rows) or len(rows) > num_parts:
         raise ValueError(f"expected one first center for each of at most {num_parts} parts")
     spark = points.sparkSession
@@ -331,10 +333,10 @@ def k_center(
         for at, part in enumerate(centers.parts):
             if int(part) in room and int(part) not in reached:
                 centers.finished[at] = True
-    return spark.createDataFrame(centers.table())
+    return with_dimension(spark.createDataFrame(centers.table()), dimension)
 
 
-def _centers_by_join(keyed: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
+def _centers_by_join(keyed: DataFrame, k: int, seed: int, first_ids) -> DataFrame:
     """The traversal with its centers in written tables, one pass per center.
 
     Points carry a salt, so that a large part spreads over many tasks in the
@@ -343,6 +345,13 @@ def _centers_by_join(keyed: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
     """
     salt = F.pmod(F.xxhash64("point_id"), F.lit(_JOIN_SALTS)).cast("int")
     state = keyed.withColumn("salt", salt).withColumn("min_dist", F.lit(float("inf")))
+    if first_ids is not None:
+        firsts = state.filter(F.col("point_id").isin([int(i) for i in first_ids]))
+    else:
+        least = F.min(F.struct("key", "point_id", "features")).alias("first")
+        ordered = state.withColumn("key", random_order("point_id", seed))
+        per_salt = ordered.groupBy("part", "salt").agg(least).select("part", "first.*")
+        firsts = per_salt.groupBy("part").agg(least).select("part", "first.*")
     newest = checkpointed(
         firsts.select(
             "part",
@@ -362,7 +371,8 @@ def _centers_by_join(keyed: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
             every_salt.alias("salt"),
         )
         to_center = F.coalesce(distance("features", "center"), F.lit(float("inf")))
-        # a center leaves the state: it is never chosen again
+        # a center leaves the state, never to be chosen again, and so does a
+        # part without any center
         state = checkpointed(
             state.join(center, ["part", "salt"], "left")
             .filter(F.col("center_id").isNull() | (F.col("center_id") != F.col("point_id")))
@@ -373,6 +383,7 @@ def _centers_by_join(keyed: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
                 "features",
                 F.least("min_dist", to_center).alias("min_dist"),
             )
+            .filter(F.col("min_dist") < float("inf"))
         )
         best = F.max(
             F.struct("min_dist", (-F.col("point_id")).alias("order"), "point_id", "features")

@@ -22,17 +22,20 @@ def write_lines(df: DataFrame, line: Column | str, path: str) -> None:
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(position, value)``: lines numbered from 0 in file order.
 
-    The lines never move. A first pass counts the lines of each file split; a
-    running sum over the splits (one row per 128 MB or so of input) gives the
-    position where each split starts, and the second pass adds the row's place
-    inside its split. Several files follow one another by path. The table of
-    starts is broadcast while it is short, and beyond that joined.
+    The lines are written once with their file split and their place in it, as
+    a cluster that gains or loses executors may split files differently the
+    next time it reads them. They are never sorted or shuffled: a running sum
+    over the line counts of the splits (one row per 128 MB or so of input)
+    gives the position where each split starts. That short table is broadcast,
+    or joined if it is not short. Several files follow one another by path.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("mark"),
+    lines = checkpointed(
+        spark.read.text(path).select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("mark"),
+        )
     )
     splits = lines.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("lines"), F.min("mark").alias("first_mark")

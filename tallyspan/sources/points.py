@@ -22,6 +22,11 @@ def dimension_of(points: DataFrame) -> int:
     return row[0] if row else 0
 
 
+def with_dimension(points: DataFrame, dimension: int) -> DataFrame:
+    """Note the number of coordinates in the schema, to save looking it up."""
+    return points.withMetadata("features", {_DIMENSION: dimension})
+
+
 def points_from_table(
     df: DataFrame,
     id_col: str = "point_id",
@@ -41,9 +46,7 @@ def points_from_table(
     )
     if dimension is None:
         dimension = dimension_of(points)
-    return points.filter(is_usable_point("features", dimension)).withMetadata(
-        "features", {_DIMENSION: dimension}
-    )
+    return with_dimension(points.filter(is_usable_point("features", dimension)), dimension)
 
 
 def _coordinates(value: str, mode: str) -> Column:

@@ -26,7 +26,7 @@ def ordered(columns, rows):
     return sorted(columns), sorted(repr([row[i] for i in at]) for row in rows)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query(spark, duck, name):
     found = entry.queries()[name](spark, FOLDER)
     expected = duck.execute(entry.oracle_sql()[name])

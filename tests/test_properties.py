@@ -86,6 +86,16 @@ def test_skewed_parts(make_points, monkeypatch, limit):
     assert found == {p: brute_centers(x, ids, 6) for p, ids in groups.items()}
 
 
+@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 10])
+def test_parts_without_a_first_center_give_none(make_points, monkeypatch, limit):
+    monkeypatch.setattr(session, "SMALL_BYTES", limit)
+    x = grid(40, 2, seed=11)
+    points = make_points(x).withColumn("part", F.col("point_id") % 4)
+    found = by_part(ts.k_center(points, 3, num_parts=4, first_ids=[5, 10]))
+    assert {part: rows[0][0] for part, rows in found.items()} == {1: 5, 2: 10}
+    assert all(len(rows) == 3 for rows in found.values())
+
+
 def test_too_many_parts_are_refused(make_points):
     points = make_points(grid(9, 2, 1)).withColumn("part", F.col("point_id"))
     with pytest.raises(ValueError):
