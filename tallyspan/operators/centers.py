@@ -32,6 +32,7 @@ from tallyspan import session
 from tallyspan.functions.kernels import distances_to, feature_column, feature_matrix, first_rows
 from tallyspan.functions.keys import SEED, random_order
 from tallyspan.functions.vectors import distance
+from tallyspan.operators.sampling import first_of_each_part
 from tallyspan.session import checkpointed
 from tallyspan.sources.points import dimension_of, with_dimension
 
@@ -227,24 +228,7 @@ def _first_centers(keyed: DataFrame, seed: int, first_ids) -> DataFrame:
         chosen = keyed.filter(F.col("point_id").isin([int(i) for i in first_ids]))
         return chosen.select("part", "point_id", "features", F.lit(None).cast("int").alias("tasks"))
 
-    def first(batches):
-        kept = None
-        for batch in batches:
-            found = [batch.column(c).to_numpy() for c in ("part", "point_id", "key")]
-            found.append(feature_matrix(batch.column("features")))
-            kept = found if kept is None else [np.concatenate(x) for x in zip(kept, found)]
-            order = first_rows(kept[0], kept[2], kept[1], 1)
-            kept = [x[order] for x in kept]
-        if kept is not None and len(kept[0]):
-            part, ids, key, matrix = kept
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array(ids), pa.array(key), feature_column(matrix)],
-                names=["part", "point_id", "key", "features"],
-            )
-
-    ordered = keyed.withColumn("key", random_order("point_id", seed))
-    schema = "part bigint, point_id bigint, key bigint, features array<double>"
-    per_task = ordered.select("part", "point_id", "key", "features").mapInArrow(first, schema)
+    per_task = first_of_each_part(keyed, 1, seed)
     best = per_task.groupBy("part").agg(
         F.min(F.struct("key", "point_id", "features")).alias("best"),
         F.count(F.lit(1)).cast("int").alias("tasks"),
@@ -298,7 +282,8 @@ def k_center(
     dimension = dimension_of(points)
     keyed = keyed.select(F.col("part").cast("bigint").alias("part"), "point_id", "features")
     if _center_bytes(num_parts, k, dimension) > session.SMALL_BYTES:
-        return with_dimension(_centers_by_join(keyed, k, seed, first_ids), dimension)
+        found = _centers_by_join(keyed, k, num_parts, dimension, seed, first_ids)
+        return with_dimension(found, dimension)
 
     rows = _first_centers(keyed, seed, first_ids).limit(num_parts + 1).collect()
     if len({row[0] for row in rows}) != len(rows) or len(rows) > num_parts:
@@ -336,15 +321,21 @@ def k_center(
     return with_dimension(spark.createDataFrame(centers.table()), dimension)
 
 
-def _centers_by_join(keyed: DataFrame, k: int, seed: int, first_ids) -> DataFrame:
+def _centers_by_join(
+    keyed: DataFrame, k: int, num_parts: int, dimension: int, seed: int, first_ids
+) -> DataFrame:
     """The traversal with its centers in written tables, one pass per center.
 
-    Points carry a salt, so that a large part spreads over many tasks in the
-    join with its newest center, and the farthest points are merged by (part,
-    salt) before part. Spark broadcasts the newest centers if they are small.
+    A pass needs the newest center of each part only. While those are small
+    they are broadcast and the points stay where they are. Otherwise points are
+    joined by (part, salt), so that a large part spreads over many tasks. The
+    farthest points are merged by (part, salt) before part.
     """
-    salt = F.pmod(F.xxhash64("point_id"), F.lit(_JOIN_SALTS)).cast("int")
-    state = keyed.withColumn("salt", salt).withColumn("min_dist", F.lit(float("inf")))
+    shuffles = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(_JOIN_SALTS, shuffles)
+    salt = F.pmod(F.xxhash64("point_id"), F.lit(salts)).cast("int")
+    infinite = F.lit(float("inf"))
+    state = keyed.withColumn("salt", salt).withColumn("min_dist", infinite)
     if first_ids is not None:
         firsts = state.filter(F.col("point_id").isin([int(i) for i in first_ids]))
     else:
@@ -362,32 +353,30 @@ def _centers_by_join(keyed: DataFrame, k: int, seed: int, first_ids) -> DataFram
         )
     )
     result = newest
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(_JOIN_SALTS - 1)))
+    small = _center_bytes(num_parts, 1, dimension) <= session.SMALL_BYTES
+    best = F.max(
+        F.struct("min_dist", (-F.col("point_id")).alias("order"), "point_id", "features")
+    ).alias("best")
     for rank in range(2, k + 1):
         center = newest.select(
-            "part",
-            F.col("point_id").alias("center_id"),
-            F.col("features").alias("center"),
-            every_salt.alias("salt"),
+            "part", F.col("point_id").alias("center_id"), F.col("features").alias("center")
         )
-        to_center = F.coalesce(distance("features", "center"), F.lit(float("inf")))
+        if small:
+            joined = state.join(F.broadcast(center), "part", "left")
+        else:
+            every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+            joined = state.join(center.withColumn("salt", every_salt), ["part", "salt"], "left")
+        to_center = F.coalesce(distance("features", "center"), infinite)
         # a center leaves the state, never to be chosen again, and so does a
         # part without any center
         state = checkpointed(
-            state.join(center, ["part", "salt"], "left")
-            .filter(F.col("center_id").isNull() | (F.col("center_id") != F.col("point_id")))
-            .select(
-                "part",
-                "salt",
-                "point_id",
-                "features",
-                F.least("min_dist", to_center).alias("min_dist"),
+            joined.filter(
+                F.col("center_id").isNull() | (F.col("center_id") != F.col("point_id"))
             )
-            .filter(F.col("min_dist") < float("inf"))
+            .withColumn("min_dist", F.least("min_dist", to_center))
+            .filter(F.col("min_dist") < infinite)
+            .select("part", "salt", "point_id", "features", "min_dist")
         )
-        best = F.max(
-            F.struct("min_dist", (-F.col("point_id")).alias("order"), "point_id", "features")
-        ).alias("best")
         per_salt = state.groupBy("part", "salt").agg(best).select("part", "best.*")
         newest = checkpointed(
             per_salt.groupBy("part")

@@ -90,8 +90,10 @@ def group_values(
     ``chunk_rows`` distinct values. Values ascend within a chunk and from chunk
     to chunk.
     """
-    chunk = F.floor(F.col(value_col) / F.lit(chunk_rows)).cast("bigint")
-    return (
-        objects.groupBy(key_col, chunk.alias("chunk"))
-        .agg(F.sort_array(F.collect_list(value_col)).alias("values"))
+    value = F.col(value_col)
+    # whole numbers throughout: a double would blur large values
+    aligned = value - F.pmod(value, F.lit(chunk_rows))
+    chunk = F.call_function("div", aligned, F.lit(chunk_rows)).alias("chunk")
+    return objects.groupBy(key_col, chunk).agg(
+        F.sort_array(F.collect_list(value_col)).alias("values")
     )

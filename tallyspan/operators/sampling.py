@@ -2,35 +2,74 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspan import session
+from tallyspan.functions.kernels import feature_column, feature_matrix, first_rows
 from tallyspan.functions.keys import SEED, random_order
 from tallyspan.session import broadcast_if_small, checkpointed
+from tallyspan.sources.points import dimension_of
 
 _MERGE_TASKS = 256
 
 
-def first_by_order(df: DataFrame, order: list, rows: int) -> DataFrame:
-    """The first ``rows`` rows by ``order``, merged in two steps.
+def first_of_each_part(points: DataFrame, rows: int, seed: int) -> DataFrame:
+    """``(part, point_id, key, features)``: each map task's first points per part.
 
-    Map tasks keep their own first rows, up to 256 tasks merge those, and one
-    task merges the 256 short lists, however many map tasks there were.
+    ``rows`` of them in the seeded random order, which ``key`` holds. No task
+    sorts its points; it keeps the first ones as they go by.
     """
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(_MERGE_TASKS)))
-    within = Window.partitionBy("_salt").orderBy(*order)
-    kept = salted.withColumn("_place", F.row_number().over(within)).filter(F.col("_place") <= rows)
-    return kept.drop("_salt", "_place").orderBy(*order).limit(rows)
 
+    def first(batches):
+        kept = None
+        for batch in batches:
+            found = [batch.column(c).to_numpy() for c in ("part", "point_id", "key")]
+            found.append(feature_matrix(batch.column("features")))
+            if kept is not None:
+                found = [np.concatenate(x) for x in zip(kept, found)]
+            part, ids, key, _ = found
+            order = first_rows(part, key, ids, rows)
+            kept = [x[order] for x in found]
+        if kept is not None and len(kept[0]):
+            part, ids, key, matrix = kept
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), pa.array(ids), pa.array(key), feature_column(matrix)],
+                names=["part", "point_id", "key", "features"],
+            )
 
-def dense_positions(df: DataFrame, id_col: str) -> DataFrame:
+    keyed = points.withColumn("key", random_order("point_id", seed))
+    return keyed.select("part", "point_id", "key", "features").mapInArrow(
+        first, "part bigint, point_id bigint, key bigint, features array<double>"
+    )
+
+
+def _first(points: DataFrame, rows: int, seed: int) -> DataFrame:
+    """The first ``rows`` points of a table in the seeded random order.
+
+    Up to 256 tasks merge the map tasks' short lists and one task merges
+    theirs, however many map tasks there were.
+    """
+    lists = first_of_each_part(points.withColumn("part", F.lit(0).cast("bigint")), rows, seed)
+    salted = lists.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(_MERGE_TASKS)))
+    within = Window.partitionBy("salt").orderBy("key", "point_id")
+    kept = salted.withColumn("place", F.row_number().over(within)).filter(F.col("place") <= rows)
+    return kept.orderBy("key", "point_id").limit(rows).select("key", "point_id", "features")
+
+
+def dense_positions(df: DataFrame, id_col: str, *order: str) -> DataFrame:
     """``(position, id)``: ids numbered from 0 in ascending order.
 
-    The ids alone are range-sorted and written; rows per sorted partition then
-    give each partition's first position.
+    The ids alone are range-sorted, by the columns in ``order`` if there are
+    any, and written; the rows of each sorted partition then give the first
+    position of the next.
     """
     ordered = checkpointed(
-        df.select(id_col).orderBy(id_col).withColumn("_mark", F.monotonically_increasing_id())
+        df.select(id_col, *(c for c in order if c != id_col))
+        .orderBy(*(order or [id_col]))
+        .select(id_col, F.monotonically_increasing_id().alias("_mark"))
     )
     split = ordered.withColumn("_split", F.shiftright("_mark", 33))
     sizes = split.groupBy("_split").agg(F.count(F.lit(1)).alias("_rows"))
@@ -53,14 +92,22 @@ def sample_points(
     random order of their ids. With replacement each draw takes the point at a
     seeded random position in id order, and a point can come up again. Both
     depend on the ids and the seed only, not on how the table is partitioned.
+    A sample too large for the map tasks to hold is drawn by sorting the ids.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     if not with_replacement:
-        keyed = points.select("point_id", "features", random_order("point_id", seed).alias("_key"))
-        first = first_by_order(keyed, [F.asc("_key"), F.asc("point_id")], k)
-        draw = F.row_number().over(Window.orderBy("_key", "point_id"))
-        return first.select(draw.alias("draw"), "point_id", "features")
+        if k * (8 * dimension_of(points) + 64) > session.SMALL_BYTES // 16:
+            keyed = points.select("point_id", random_order("point_id", seed).alias("key"))
+            positions = dense_positions(keyed, "point_id", "key", "point_id")
+            drawn = positions.filter(F.col("position") < k).select(
+                (F.col("position") + 1).cast("int").alias("draw"), "point_id"
+            )
+            return points.join(broadcast_if_small(drawn, k), "point_id").select(
+                "draw", "point_id", "features"
+            )
+        draw = F.row_number().over(Window.orderBy("key", "point_id"))
+        return _first(points, k, seed).select(draw.alias("draw"), "point_id", "features")
     n = points.agg(F.count(F.lit(1))).first()[0]
     if n == 0:
         raise ValueError("cannot draw from no points")

@@ -40,13 +40,14 @@ def points_from_table(
     them, before any distance. Points with a NaN coordinate are left out: no
     comparison could ever choose them.
     """
-    points = df.select(
-        F.col(id_col).cast("bigint").alias("point_id"),
-        F.col(features_col).cast("array<double>").alias("features"),
+    raw = df.select(
+        F.col(id_col).cast("bigint").alias("point_id"), F.col(features_col).alias("features")
     )
     if dimension is None:
-        dimension = dimension_of(points)
-    return with_dimension(points.filter(is_usable_point("features", dimension)), dimension)
+        dimension = dimension_of(raw)
+    usable = raw.filter(is_usable_point("features", dimension))
+    points = usable.withColumn("features", F.col("features").cast("array<double>"))
+    return with_dimension(points, dimension)
 
 
 def _coordinates(value: str, mode: str) -> Column:

@@ -112,6 +112,16 @@ def test_group_values_chunks_hold_everything(spark):
         assert values == [i for i in range(10_000) if (i % 3 == 0) == (gamma == "hot")]
 
 
+def test_group_values_of_large_and_negative_numbers(spark):
+    top = 2**63 - 1
+    values = [top, top - 1, top - 64, -1, 0, 2**53 + 1, -(2**62)]
+    objects = spark.createDataFrame([(v, "a") for v in values], "i bigint, gamma string")
+    grouped = ts.group_values(objects, chunk_rows=64).collect()
+    assert sorted((r["chunk"], v) for r in grouped for v in r["values"]) == sorted(
+        (v // 64, v) for v in values
+    )
+
+
 def test_text_roundtrip(spark, tmp_path, pairs_small):
     path = str(tmp_path / "pairs")
     ts.write_lines(pairs_small, ts.encode_pairs("i", "gamma"), path)

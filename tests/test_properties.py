@@ -73,7 +73,7 @@ def test_k_center_takes_all_points_once(make_points):
     assert sorted(i for i, _ in found) == list(range(40))
 
 
-@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 10])
+@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 1000, 10])
 def test_skewed_parts(make_points, monkeypatch, limit):
     """One part holds two thirds of the points; with and without room for centers."""
     monkeypatch.setattr(session, "SMALL_BYTES", limit)
@@ -240,7 +240,9 @@ def test_large_sample_is_read_in_shares(make_points, monkeypatch):
     assert found == np.sqrt(((x[:, None] - x[chosen][None]) ** 2).sum(-1)).max()
 
 
-def test_samples(make_points):
+@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 10])
+def test_samples(make_points, monkeypatch, limit):
+    monkeypatch.setattr(session, "SMALL_BYTES", limit)
     points = make_points(grid(200, 2, seed=1), slices=6)
     sample = ts.sample_points(points, 9).orderBy("draw").collect()
     assert [r["point_id"] for r in sample] == sorted(range(200), key=lambda i: (order_key(i), i))[:9]
