@@ -352,6 +352,8 @@ def _centers_by_join(
             F.lit(None).cast("double").alias("distance"),
         )
     )
+    if newest.count() > num_parts:
+        raise ValueError(f"expected one first center for each of at most {num_parts} parts")
     result = newest
     small = _center_bytes(num_parts, 1, dimension) <= session.SMALL_BYTES
     best = F.max(

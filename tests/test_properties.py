@@ -96,7 +96,9 @@ def test_parts_without_a_first_center_give_none(make_points, monkeypatch, limit)
     assert all(len(rows) == 3 for rows in found.values())
 
 
-def test_too_many_parts_are_refused(make_points):
+@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 10])
+def test_too_many_parts_are_refused(make_points, monkeypatch, limit):
+    monkeypatch.setattr(session, "SMALL_BYTES", limit)
     points = make_points(grid(9, 2, 1)).withColumn("part", F.col("point_id"))
     with pytest.raises(ValueError):
         ts.k_center(points, 2, num_parts=3)
