@@ -14,9 +14,11 @@ part may be larger than any executor:
    for. Every pass settles at least one center per part, usually many, and the
    centers are exactly those of a pass per center.
 
-Only the centers come back to the driver, behind a check of their total size.
-Beyond it the traversal keeps centers and distances in written tables and joins
-them (:func:`_centers_by_join`).
+After a fixed number of new centers the distances are written down, and the
+centers as well. So what the driver and the map tasks hold is bounded by that
+number, not by k; the number shrinks until its size passes a check. Where not
+even one center per part passes, the traversal joins its newest centers from
+written tables instead (:func:`_centers_by_join`).
 """
 
 from __future__ import annotations
@@ -42,8 +44,8 @@ POOL_ROWS = 1_024
 POOL_BYTES = 16 << 20
 MERGE_BYTES = 128 << 20
 MERGE_TASKS = 256
-# Centers per part compared in each pass before the distances are written down.
-REFRESH_AFTER = 64
+# Most new centers per part before distances and centers are written down.
+REFRESH_AFTER = 128
 _JOIN_SALTS = 64
 
 CENTER_SCHEMA = (
@@ -52,67 +54,74 @@ CENTER_SCHEMA = (
 
 
 class _Centers:
-    """The centers of each part chosen so far, as arrays the map tasks use."""
+    """The newest centers of each part, as arrays the map tasks use."""
 
     def __init__(self, rows):
-        """From the first center of each part: (part, point_id, features)."""
-        rows = sorted(rows)
+        """From the first center of each part: (part, point_id, features, ...)."""
+        rows = sorted(rows, key=lambda row: row[0])
         self.parts = np.array([row[0] for row in rows], np.int64)
         self.ids = [[row[1]] for row in rows]
         self.vectors = [[np.array(row[2], np.float64)] for row in rows]
         self.distances: list[list[float | None]] = [[None] for _ in rows]
+        self.counts = [1] * len(rows)
         self.finished = [False] * len(rows)
-        # how many centers are already part of the written distances
-        self.settled = [0] * len(rows)
+        self.dimension = len(rows[0][2])
 
-    def add(self, part: int, point_id: int, vector, dist: float, exhausted: bool) -> None:
+    def add(self, part: int, point_id: int, vector, dist: float | None, exhausted: bool) -> None:
         at = int(np.searchsorted(self.parts, part))
         self.ids[at].append(point_id)
         self.vectors[at].append(np.array(vector, np.float64))
         self.distances[at].append(dist)
+        self.counts[at] += 1
         self.finished[at] = self.finished[at] or exhausted
 
-    def room(self, k: int) -> dict[int, int]:
-        """Centers still wanted, for each part that can give more."""
+    def room(self, k: int, at_once: int) -> dict[int, int]:
+        """Centers wanted from the next pass, for each part that can give more."""
         return {
-            int(part): k - len(ids)
-            for part, ids, done in zip(self.parts, self.ids, self.finished)
-            if len(ids) < k and not done
+            int(part): min(k - count, at_once)
+            for part, count, done in zip(self.parts, self.counts, self.finished)
+            if count < k and not done
         }
 
-    def fresh(self) -> np.ndarray:
-        """Centers not yet in the written distances: (round, part, coordinate).
+    def held(self) -> int:
+        """Most newest centers of one part."""
+        return max(map(len, self.ids))
 
-        Parts with fewer of them are filled up with NaN.
-        """
-        new = [vectors[done:] for vectors, done in zip(self.vectors, self.settled)]
-        rounds = max(map(len, new))
-        table = np.full((rounds, len(new), len(self.vectors[0][0])), np.nan)
-        for at, vectors in enumerate(new):
+    def array(self) -> np.ndarray:
+        """The newest centers: (round, part, coordinate), filled up with NaN."""
+        table = np.full((self.held(), len(self.parts), self.dimension), np.nan)
+        for at, vectors in enumerate(self.vectors):
             for rank, vector in enumerate(vectors):
                 table[rank, at] = vector
         return table
 
-    def settle(self) -> None:
-        self.settled = [len(ids) for ids in self.ids]
-
     def chosen(self) -> np.ndarray:
         return np.sort(np.array([i for ids in self.ids for i in ids], np.int64))
 
     def table(self) -> pa.Table:
-        counts = [len(ids) for ids in self.ids]
+        lengths = [len(ids) for ids in self.ids]
+        ranks = [
+            rank
+            for count, held in zip(self.counts, lengths)
+            for rank in range(count - held + 1, count + 1)
+        ]
+        vectors = np.array([v for vs in self.vectors for v in vs])
         return pa.table(
             {
-                "part": pa.array(np.repeat(self.parts, counts), pa.int64()),
-                "rank": pa.array([r for n in counts for r in range(1, n + 1)], pa.int32()),
+                "part": pa.array(np.repeat(self.parts, lengths), pa.int64()),
+                "rank": pa.array(ranks, pa.int32()),
                 "point_id": pa.array([i for ids in self.ids for i in ids], pa.int64()),
-                "features": feature_column(np.array([v for vs in self.vectors for v in vs])),
+                "features": feature_column(vectors.reshape(len(ranks), self.dimension)),
                 "distance": pa.array([d for ds in self.distances for d in ds], pa.float64()),
             }
         )
 
+    def forget(self) -> None:
+        """Drop the newest centers once they are written down."""
+        self.ids, self.vectors, self.distances = ([[] for _ in self.parts] for _ in range(3))
+
 
-def _nearest(batch: pa.RecordBatch, parts: np.ndarray, fresh: np.ndarray):
+def _nearest(batch: pa.RecordBatch, parts: np.ndarray, newest: np.ndarray):
     """Part numbers, ids, coordinates and distance to the nearest center.
 
     The distance is infinite in a part that has no center.
@@ -126,7 +135,7 @@ def _nearest(batch: pa.RecordBatch, parts: np.ndarray, fresh: np.ndarray):
         nearest = batch.column("min_dist").to_numpy(zero_copy_only=False).copy()
     else:
         nearest = np.full(len(ids), np.inf)
-    for centers in fresh:
+    for centers in newest:
         dist = distances_to(matrix, centers[0] if len(parts) == 1 else centers[at])
         dist[strangers] = np.nan
         nearest = np.fmin(nearest, dist)
@@ -142,17 +151,19 @@ def _pool_batch(part, ids, nearest, matrix) -> pa.RecordBatch:
 
 def _pools(state: DataFrame, centers: _Centers, rows: int, open_parts: dict) -> DataFrame:
     """Each map task's ``rows`` farthest points of every unfinished part."""
-    parts, fresh, chosen = centers.parts, centers.fresh(), centers.chosen()
+    parts, newest, chosen = centers.parts, centers.array(), centers.chosen()
     wanted = np.isin(parts, np.array(list(open_parts), np.int64))
 
     def farthest(batches):
         pool = None
         floor = np.full(len(parts), -np.inf)
         for batch in batches:
-            part, ids, matrix, nearest = _nearest(batch, parts, fresh)
+            part, ids, matrix, nearest = _nearest(batch, parts, newest)
             at = np.minimum(np.searchsorted(parts, part), len(parts) - 1)
             keep = np.flatnonzero(wanted[at] & (nearest >= floor[at]) & np.isfinite(nearest))
             keep = keep[~np.isin(ids[keep], chosen)]
+            if not len(keep):
+                continue
             found = [x[keep] for x in (part, ids, nearest, matrix)]
             pool = found if pool is None else [np.concatenate(x) for x in zip(pool, found)]
             first = first_rows(pool[0], -pool[2], pool[1], rows)
@@ -161,7 +172,7 @@ def _pools(state: DataFrame, centers: _Centers, rows: int, open_parts: dict) ->
             at, sizes = np.unique(np.searchsorted(parts, pool[0]), return_counts=True)
             full = sizes == rows
             floor[at[full]] = pool[2][np.cumsum(sizes)[full] - 1]
-        if pool is not None and len(pool[0]):
+        if pool is not None:
             yield _pool_batch(*pool)
 
     schema = "part bigint, point_id bigint, nearest double, features array<double>"
@@ -236,13 +247,18 @@ def _first_centers(keyed: DataFrame, seed: int, first_ids) -> DataFrame:
     return best.select("part", "best.point_id", "best.features", "tasks")
 
 
-def _with_distances(state: DataFrame, centers: _Centers, keep_features: bool) -> DataFrame:
+def _with_distances(
+    state: DataFrame, centers: _Centers, keep_features: bool, keep_centers: bool = True
+) -> DataFrame:
     """Every point with ``min_dist``, its distance to the nearest center."""
-    parts, fresh = centers.parts, centers.fresh()
+    parts, newest, chosen = centers.parts, centers.array(), centers.chosen()
 
     def measure(batches):
         for batch in batches:
-            part, ids, matrix, nearest = _nearest(batch, parts, fresh)
+            if not keep_centers:
+                ids = batch.column("point_id").to_numpy()
+                batch = batch.filter(pa.array(~np.isin(ids, chosen)))
+            part, ids, matrix, nearest = _nearest(batch, parts, newest)
             arrays = [pa.array(part), pa.array(ids), pa.array(nearest)]
             names = ["part", "point_id", "min_dist"]
             if keep_features:
@@ -254,8 +270,8 @@ def _with_distances(state: DataFrame, centers: _Centers, keep_features: bool) ->
     return state.mapInArrow(measure, schema + (", features array<double>" if keep_features else ""))
 
 
-def _center_bytes(parts: int, k: int, dimension: int) -> int:
-    return parts * k * (8 * dimension + 64)
+def _center_bytes(centers: int, dimension: int) -> int:
+    return centers * (8 * dimension + 64)
 
 
 def k_center(
@@ -281,8 +297,10 @@ def k_center(
     num_parts = 1 if num_parts is None else num_parts
     dimension = dimension_of(points)
     keyed = keyed.select(F.col("part").cast("bigint").alias("part"), "point_id", "features")
-    if _center_bytes(num_parts, k, dimension) > session.SMALL_BYTES:
-        found = _centers_by_join(keyed, k, num_parts, dimension, seed, first_ids)
+    # a pass starts with up to this many centers per part and adds as many
+    hold = min(REFRESH_AFTER, session.SMALL_BYTES // (2 * _center_bytes(num_parts, dimension)))
+    if hold < 1:
+        found = _centers_by_join(keyed, k, num_parts, seed, first_ids)
         return with_dimension(found, dimension)
 
     rows = _first_centers(keyed, seed, first_ids).limit(num_parts + 1).collect()
@@ -300,10 +318,12 @@ def k_center(
         min(pool_rows, POOL_BYTES // (num_parts * row_bytes), MERGE_BYTES // (merged * row_bytes)),
     )
     state = keyed
-    while room := centers.room(k):
-        if len(centers.fresh()) > REFRESH_AFTER:
-            state = checkpointed(_with_distances(state, centers, keep_features=True))
-            centers.settle()
+    written = []
+    while room := centers.room(k, hold):
+        if centers.held() > hold:
+            state = checkpointed(_with_distances(state, centers, True, keep_centers=False))
+            written.append(checkpointed(spark.createDataFrame(centers.table())))
+            centers.forget()
         pools = _pools(state, centers, pool_rows, room)
         if not few_tasks:
             pools = _merge_pools(pools, pool_rows)
@@ -318,18 +338,20 @@ def k_center(
         for at, part in enumerate(centers.parts):
             if int(part) in room and int(part) not in reached:
                 centers.finished[at] = True
-    return with_dimension(spark.createDataFrame(centers.table()), dimension)
+    found = spark.createDataFrame(centers.table())
+    for earlier in written:
+        found = earlier.unionByName(found)
+    return with_dimension(found, dimension)
 
 
 def _centers_by_join(
-    keyed: DataFrame, k: int, num_parts: int, dimension: int, seed: int, first_ids
+    keyed: DataFrame, k: int, num_parts: int, seed: int, first_ids
 ) -> DataFrame:
     """The traversal with its centers in written tables, one pass per center.
 
-    A pass needs the newest center of each part only. While those are small
-    they are broadcast and the points stay where they are. Otherwise points are
-    joined by (part, salt), so that a large part spreads over many tasks. The
-    farthest points are merged by (part, salt) before part.
+    Points are joined with their newest center by (part, salt), so that a large
+    part spreads over many tasks, and the farthest points are merged by (part,
+    salt) before part.
     """
     shuffles = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salts = max(_JOIN_SALTS, shuffles)
@@ -355,19 +377,17 @@ def _centers_by_join(
     if newest.count() > num_parts:
         raise ValueError(f"expected one first center for each of at most {num_parts} parts")
     result = newest
-    small = _center_bytes(num_parts, 1, dimension) <= session.SMALL_BYTES
     best = F.max(
         F.struct("min_dist", (-F.col("point_id")).alias("order"), "point_id", "features")
     ).alias("best")
     for rank in range(2, k + 1):
         center = newest.select(
-            "part", F.col("point_id").alias("center_id"), F.col("features").alias("center")
+            "part",
+            F.col("point_id").alias("center_id"),
+            F.col("features").alias("center"),
+            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
         )
-        if small:
-            joined = state.join(F.broadcast(center), "part", "left")
-        else:
-            every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-            joined = state.join(center.withColumn("salt", every_salt), ["part", "salt"], "left")
+        joined = state.join(center, ["part", "salt"], "left")
         to_center = F.coalesce(distance("features", "center"), infinite)
         # a center leaves the state, never to be chosen again, and so does a
         # part without any center
@@ -409,7 +429,7 @@ def min_distance(points: DataFrame, centers: DataFrame, num_centers: int | None
     centers = centers.select(part.alias("part"), "point_id", "features")
     if num_centers is None:
         num_centers = centers.count()
-    total = _center_bytes(1, num_centers, dimension_of(points))
+    total = _center_bytes(num_centers, dimension_of(points))
     passes = 1 if total <= session.SMALL_BYTES else 2 * math.ceil(total / session.SMALL_BYTES)
     for number in range(passes):
         share = centers.filter(F.pmod(F.xxhash64("point_id"), F.lit(passes)) == number)

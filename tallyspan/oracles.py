@@ -135,7 +135,7 @@ def oracle_sql(parts: int, k: int, k_even: int, k_odd: int, chunk: int) -> dict[
     return {
         "text_scan": "SELECT event_id || ' ' || event_type AS value FROM events",
         "decode_pairs": "SELECT event_id AS i, event_type AS gamma FROM events",
-        "decode_points": "SELECT vec_id AS point_id, pos - 1 AS pos, round(x, 6) AS x FROM ("
+        "decode_points": "SELECT vec_id AS point_id, (pos - 1)::INTEGER AS pos, round(x, 6) AS x FROM ("
         " SELECT vec_id, unnest(embedding::DOUBLE[]) AS x,"
         " unnest(range(1, len(embedding) + 1)) AS pos FROM embeddings)",
         "partition_key": f"SELECT event_id AS i, event_id % {parts} AS part,"

@@ -167,3 +167,10 @@ def test_word_count_hot_word(spark):
     counts = dict(rows(ts.word_count(docs, "salted", salts=7)))
     assert counts["hot"] == counts["v"] == 300 and len(counts) == 302
     assert counts == dict(rows(ts.word_count(docs)))
+
+
+def test_spreading_moves_small_tables_only(spark):
+    few = ts.spread_over_cores(spark.range(100, numPartitions=1))
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(100, numPartitions=50)
+    assert ts.spread_over_cores(many) is many

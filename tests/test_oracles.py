@@ -21,6 +21,9 @@ def duck():
     return connection
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+
+
 def ordered(columns, rows):
     at = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(columns), sorted(repr([row[i] for i in at]) for row in rows)
@@ -31,6 +34,8 @@ def test_query(spark, duck, name):
     found = entry.queries()[name](spark, FOLDER)
     expected = duck.execute(entry.oracle_sql()[name])
     names = [column[0] for column in expected.description]
+    types = {column[0]: str(column[1]) for column in expected.description}
+    assert {name: TYPES[kind] for name, kind in found.dtypes} == types
     assert ordered(found.columns, found.collect()) == ordered(names, expected.fetchall())
 
 

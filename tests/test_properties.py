@@ -73,7 +73,7 @@ def test_k_center_takes_all_points_once(make_points):
     assert sorted(i for i, _ in found) == list(range(40))
 
 
-@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 1000, 10])
+@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 1500, 10])
 def test_skewed_parts(make_points, monkeypatch, limit):
     """One part holds two thirds of the points; with and without room for centers."""
     monkeypatch.setattr(session, "SMALL_BYTES", limit)
