@@ -22,8 +22,8 @@ from tallyspan.functions.kernels import FarthestPairs, distance_sum, feature_mat
 from tallyspan.sources.points import dimension_of
 
 # Bytes of coordinates in one block, and the most points whatever their width.
-BLOCK_BYTES = 16 << 20
-BLOCK_ROWS = 16_384
+BLOCK_BYTES = 32 << 20
+BLOCK_ROWS = 65_536
 # Below this many points a second block does not pay.
 _SINGLE_BLOCK = 1_024
 

@@ -142,13 +142,6 @@ def _nearest(batch: pa.RecordBatch, parts: np.ndarray, newest: np.ndarray):
     return part, ids, matrix, nearest
 
 
-def _pool_batch(part, ids, nearest, matrix) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(part), pa.array(ids), pa.array(nearest), feature_column(matrix)],
-        names=["part", "point_id", "nearest", "features"],
-    )
-
-
 def _pools(state: DataFrame, centers: _Centers, rows: int, open_parts: dict) -> DataFrame:
     """Each map task's ``rows`` farthest points of every unfinished part."""
     parts, newest, chosen = centers.parts, centers.array(), centers.chosen()
@@ -173,7 +166,10 @@ def _pools(state: DataFrame, centers: _Centers, rows: int, open_parts: dict) ->
             full = sizes == rows
             floor[at[full]] = pool[2][np.cumsum(sizes)[full] - 1]
         if pool is not None:
-            yield _pool_batch(*pool)
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, pool[:3]), feature_column(pool[3])],
+                names=["part", "point_id", "nearest", "features"],
+            )
 
     schema = "part bigint, point_id bigint, nearest double, features array<double>"
     return state.mapInArrow(farthest, schema)
