@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import chat, decontaminate, license_scan
+from tallyspan.llm import chat, decontaminate, license_scan, quality, toxicity
 
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING",
@@ -22,6 +22,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet").select(columns)
 
 
+def op2_toxicity(spark, folder):
+    scored = toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op3_quality_classifier(spark, folder):
+    scored = quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.drop("text")
+
+
 def op4_chat_formatting(spark, folder):
     said = r"\### Assistant: </turn> ok"
     extra = spark.range(2).select(
@@ -52,5 +62,11 @@ def op8_benchmark_decontamination(spark, folder):
 
 def queries() -> dict:
     """All queries by name."""
-    every = (op4_chat_formatting, op7_license_scans, op8_benchmark_decontamination)
+    every = (
+        op2_toxicity,
+        op3_quality_classifier,
+        op4_chat_formatting,
+        op7_license_scans,
+        op8_benchmark_decontamination,
+    )
     return {query.__name__: query for query in every}
