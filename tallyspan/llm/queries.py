@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import chat, decontaminate, license_scan, quality, toxicity
+from tallyspan.llm import chat, decontaminate, license_scan, packing, quality, toxicity
 
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING",
@@ -44,6 +44,10 @@ def op4_chat_formatting(spark, folder):
     return chat.read_back(chat.expand_examples(turns))
 
 
+def op6_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op7_license_scans(spark, folder):
     return license_scan.scan_licenses(table(spark, folder, "documents")).drop("spans")
 
@@ -66,6 +70,7 @@ def queries() -> dict:
         op2_toxicity,
         op3_quality_classifier,
         op4_chat_formatting,
+        op6_packing,
         op7_license_scans,
         op8_benchmark_decontamination,
     )
