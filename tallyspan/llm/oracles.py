@@ -50,6 +50,29 @@ FROM docs LEFT JOIN places USING (r) LEFT JOIN owners USING (r)
 """
 
 
+OP9 = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+parts AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN parts ON parts.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"op4_chat_formatting": OP4, "op8_benchmark_decontamination": OP8}
+    return {"op4_chat_formatting": OP4, "op8_benchmark_decontamination": OP8, "op9_embedding_near_dedup": OP9}

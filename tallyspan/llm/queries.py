@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import chat, decontaminate, license_scan, packing, quality, toxicity
+from tallyspan.llm import chat, decontaminate, embedding_dedup, license_scan, packing, quality, toxicity
 
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING",
@@ -64,6 +64,10 @@ def op8_benchmark_decontamination(spark, folder):
     )
 
 
+def op9_embedding_near_dedup(spark, folder):
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict:
     """All queries by name."""
     every = (
@@ -73,5 +77,6 @@ def queries() -> dict:
         op6_packing,
         op7_license_scans,
         op8_benchmark_decontamination,
+        op9_embedding_near_dedup,
     )
     return {query.__name__: query for query in every}
