@@ -73,6 +73,33 @@ FROM embeddings JOIN parts ON parts.a = vec_id LEFT JOIN counts ON counts.a = ve
 """
 
 
+OP10 = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, hash(array_to_string(w[i : i + 4], ' ')) AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT a, b FROM (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+    ) JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * common >= 85 * (x.n + y.n - common)
+),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM docs
+    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id, doc_id = min(b) AS kept
+FROM reach JOIN docs ON doc_id = a LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"op4_chat_formatting": OP4, "op8_benchmark_decontamination": OP8, "op9_embedding_near_dedup": OP9}
+    return {"op4_chat_formatting": OP4, "op8_benchmark_decontamination": OP8, "op9_embedding_near_dedup": OP9, "op10_minhash_near_dedup": OP10}

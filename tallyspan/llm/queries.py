@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import chat, decontaminate, embedding_dedup, license_scan, packing, quality, toxicity
+from tallyspan.llm import chat, decontaminate, embedding_dedup, license_scan, minhash_dedup, packing, quality, toxicity
 
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING",
@@ -68,6 +68,10 @@ def op9_embedding_near_dedup(spark, folder):
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op10_minhash_near_dedup(spark, folder):
+    return minhash_dedup.near_duplicates(table(spark, folder, "documents")).drop("component", "row")
+
+
 def queries() -> dict:
     """All queries by name."""
     every = (
@@ -78,5 +82,6 @@ def queries() -> dict:
         op7_license_scans,
         op8_benchmark_decontamination,
         op9_embedding_near_dedup,
+        op10_minhash_near_dedup,
     )
     return {query.__name__: query for query in every}
