@@ -26,6 +26,42 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+OP5 = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
+    FROM documents
+),
+counted AS (
+    SELECT doc_id, s, i, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS n, count(*) OVER (PARTITION BY doc_id) AS total
+    FROM lines
+),
+sums AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM counted),
+docs AS (SELECT doc_id, list(s ORDER BY i) AS s, list(upto ORDER BY i) AS upto, any_value(total) AS total FROM sums GROUP BY doc_id),
+sizes AS (SELECT CAST(pow(2, k) AS BIGINT) AS h FROM range(0, 20) t(k)),
+starts AS (SELECT doc_id, s, upto, h, unnest(range(0, total - h + 1)) AS i FROM docs, sizes WHERE h <= total),
+runs AS (
+    SELECT doc_id, i, h, array_to_string(s[i + 1 : i + h], chr(10)) AS run FROM starts
+    WHERE upto[i + h] - CASE WHEN i = 0 THEN 0 ELSE upto[i] END >= 10
+),
+later AS (
+    SELECT doc_id, i, h FROM (
+        SELECT doc_id, i, h, row_number() OVER (PARTITION BY h, run ORDER BY doc_id, i) AS copy FROM runs
+    ) WHERE copy > 1
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + h)) AS i FROM later)
+SELECT documents.doc_id, coalesce(any_value(c.n_lines), 0)::BIGINT AS n_lines,
+    coalesce(any_value(c.n_removed), 0)::BIGINT AS n_removed, coalesce(any_value(c.n_runs), 0)::BIGINT AS n_runs,
+    CASE WHEN any_value(text) IS NOT NULL THEN sha256(coalesce(any_value(c.kept), '')) END AS kept_sha256
+FROM documents LEFT JOIN (
+    SELECT doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+        count(g.i) FILTER (g.i IS NOT NULL AND before IS NULL) AS n_runs,
+        string_agg(s, chr(10) ORDER BY l.i) FILTER (g.i IS NULL) AS kept
+    FROM lines l LEFT JOIN gone g USING (doc_id, i)
+        LEFT JOIN (SELECT doc_id AS d, i AS before FROM gone) ON d = doc_id AND before = l.i - 1
+    GROUP BY doc_id
+) c USING (doc_id) GROUP BY documents.doc_id
+"""
+
 OP8 = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
@@ -102,4 +138,4 @@ FROM reach JOIN docs ON doc_id = a LEFT JOIN sizes USING (doc_id) GROUP BY doc_i
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"op4_chat_formatting": OP4, "op8_benchmark_decontamination": OP8, "op9_embedding_near_dedup": OP9, "op10_minhash_near_dedup": OP10}
+    return {"op4_chat_formatting": OP4, "op5_line_dedup": OP5, "op8_benchmark_decontamination": OP8, "op9_embedding_near_dedup": OP9, "op10_minhash_near_dedup": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import chat, decontaminate, embedding_dedup, license_scan, minhash_dedup, packing, quality, toxicity
+from tallyspan.llm import chat, decontaminate, embedding_dedup, license_scan, line_dedup, minhash_dedup, packing, quality, toxicity
 
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING",
@@ -44,6 +44,11 @@ def op4_chat_formatting(spark, folder):
     return chat.read_back(chat.expand_examples(turns))
 
 
+def op5_line_dedup(spark, folder):
+    left = line_dedup.remove_repeated_lines(table(spark, folder, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
 
@@ -78,6 +83,7 @@ def queries() -> dict:
         op2_toxicity,
         op3_quality_classifier,
         op4_chat_formatting,
+        op5_line_dedup,
         op6_packing,
         op7_license_scans,
         op8_benchmark_decontamination,
