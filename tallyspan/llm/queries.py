@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import chat, decontaminate, embedding_dedup, license_scan, line_dedup, minhash_dedup, packing, quality, toxicity
+from tallyspan.llm import chat, decontaminate, embedding_dedup, license_scan, line_dedup, minhash_dedup, packing, quality, suffix_dedup, toxicity
 
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING",
@@ -22,6 +22,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet").select(columns)
 
 
+def op1_suffix_array_dedup(spark, folder):
+    left = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_toxicity(spark, folder):
     scored = toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -80,6 +85,7 @@ def op10_minhash_near_dedup(spark, folder):
 def queries() -> dict:
     """All queries by name."""
     every = (
+        op1_suffix_array_dedup,
         op2_toxicity,
         op3_quality_classifier,
         op4_chat_formatting,
