@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tallyspan.llm.texts import byte_texts, plain_words, powers, slices
 
@@ -24,7 +25,11 @@ SIZE = 10
 BROADCAST_WORDS = 2_000_000  # about 200 MB of Python objects at most, and far less as pickled
 _Q = 0x2545F4914F6CDD1D
 
-FOUND = "n_words BIGINT, n_hit BIGINT, n_items BIGINT, items ARRAY<STRING>, spans ARRAY<STRUCT<start: BIGINT, end: BIGINT>>"
+_SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
+FOUND = StructType(
+    [StructField(n, LongType()) for n in ("n_words", "n_hit", "n_items")]
+    + [StructField("items", ArrayType(StringType())), StructField("spans", ArrayType(_SPAN))]
+)
 _TYPES = [
     ("n_words", pa.int64()),
     ("n_hit", pa.int64()),
@@ -99,19 +104,19 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, size: int = SIZE, broadcast_words: int = BROADCAST_WORDS
 ) -> DataFrame:
-    """doc_id, text, and what of each document occurs in benchmark windows.
+    """All rows and columns of ``docs``, and what of each text occurs in benchmark windows.
 
     ``n_words`` words, ``n_hit`` of them inside windows, ``items`` the sorted
     ids (as text) of the ``n_items`` items met, ``spans`` the merged word
-    ranges hit. Every row of ``docs`` gives a row, repeated rows too. Null and
-    empty texts have no words and hit nothing, an empty benchmark hits nothing,
-    items with a null id count as item ``None``. Other columns are ignored.
+    ranges hit; columns of these names are replaced. Every row gives a row,
+    repeated rows too. Null and empty texts have no words and hit nothing, an
+    empty benchmark hits nothing, items with a null id count as item ``None``.
     """
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    docs = docs.drop(*FOUND.names).withColumn("text", F.col("text").cast("string"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     if _fits(items, size, broadcast_words):
-        return _by_broadcast(texts, items, size)
-    return _by_join(texts, items, size)
+        return _by_broadcast(docs, items, size)
+    return _by_join(docs, items, size)
 
 
 def _fits(items: DataFrame, size: int, limit: int) -> bool:
@@ -120,15 +125,14 @@ def _fits(items: DataFrame, size: int, limit: int) -> bool:
     return (items.agg(words).first()["words"] or 0) <= limit
 
 
-def _output(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+def _output(batch: pa.RecordBatch, found: list[tuple], names: list[str]) -> pa.RecordBatch:
     columns = list(zip(*found, strict=True)) or [[]] * len(_TYPES)
     arrays = [pa.array(list(values), kind) for values, (_, kind) in zip(columns, _TYPES, strict=True)]
-    names = ["doc_id", "text", *(name for name, _ in _TYPES)]
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), *arrays], names=names)
+    return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *arrays], names=[*names, *FOUND.names])
 
 
-def _schema(texts: DataFrame) -> str:
-    return f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, text STRING, {FOUND}"
+def _schema(docs: DataFrame) -> StructType:
+    return StructType([*docs.schema.fields, *FOUND.fields])
 
 
 def _row(words: list, spans: list[tuple[int, int]], items) -> tuple:
@@ -136,9 +140,10 @@ def _row(words: list, spans: list[tuple[int, int]], items) -> tuple:
     return len(words), hit, len(items), sorted(items), [{"start": a, "end": b} for a, b in spans]
 
 
-def _by_broadcast(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
+def _by_broadcast(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     pairs = [(r["item_id"], r["text"]) for r in items.toLocalIterator()]
-    shared = texts.sparkSession.sparkContext.broadcast(_windows(pairs, size))
+    shared = docs.sparkSession.sparkContext.broadcast(_windows(pairs, size))
+    names = docs.columns
 
     def task(batches):
         scanner = _Scanner(shared.value)
@@ -147,17 +152,17 @@ def _by_broadcast(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
             for text in byte_texts(batch):
                 words = plain_words(text)
                 found.append(_row(words, *scanner.scan(words)))
-            yield _output(batch, found)
+            yield _output(batch, found, names)
 
-    return texts.mapInArrow(task, _schema(texts))
+    return docs.mapInArrow(task, _schema(docs))
 
 
 def _digest(words) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
-def _by_join(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """The same by a join on 128-bit window digests; rows of equal doc_id and text share their places."""
+def _by_join(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
+    """The same by a join on 128-bit window digests; rows of equal texts share their places."""
 
     def item_task(batches):
         for batch in slices(batches):
@@ -190,41 +195,41 @@ def _by_join(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
                 names=["key", "place", "window"],
             )
 
-    key = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("key")
-    keyed = texts.select("doc_id", "text", key)
-    scanned = keyed.select("key", "text").dropDuplicates(["key"])
+    keyed = docs.withColumn("_key", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    scanned = keyed.select(F.col("_key").alias("key"), "text").dropDuplicates(["key"])
     places = scanned.mapInArrow(text_task, "key BINARY, place BIGINT, window BINARY").join(windows, "window")
-    found = places.groupBy("key").agg(
-        F.collect_set("item").alias("items"),
-        F.collect_set(F.struct("place", "length")).alias("places"),
+    found = places.groupBy(F.col("key").alias("_key")).agg(
+        F.collect_set("item").alias("_items"),
+        F.collect_set(F.struct("place", "length")).alias("_places"),
     )
-    joined = keyed.join(found, "key", "left").select("doc_id", "text", "items", "places")
+    names = docs.columns
+    joined = keyed.join(found, "_key", "left").select(*names, "_items", "_places")
 
     def finish(batches):
         for batch in slices(batches):
             out = []
-            columns = (byte_texts(batch), batch.column("items").to_pylist(), batch.column("places").to_pylist())
+            columns = (byte_texts(batch), batch.column("_items").to_pylist(), batch.column("_places").to_pylist())
             for text, owners, spots in zip(*columns, strict=True):
                 spans = merge([(p["place"], p["place"] + p["length"]) for p in spots or ()])
                 out.append(_row(plain_words(text), spans, owners or []))
-            yield _output(batch, out)
+            yield _output(batch, out, names)
 
-    return joined.mapInArrow(finish, _schema(texts))
+    return joined.mapInArrow(finish, _schema(docs))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, remove: str = "documents") -> DataFrame:
-    """Documents (doc_id, text) without benchmark passages.
+    """``docs`` without benchmark passages, all columns kept.
 
     ``remove="documents"`` leaves out every document with a hit,
     ``remove="spans"`` keeps it and joins its other words by single spaces,
     lower-cased as they are compared; texts without a hit stay as they are.
     """
     found = find_contamination(docs, benchmark, size)
+    names = [n for n in found.columns if n not in FOUND.names]
     if remove == "documents":
-        return found.where("n_hit = 0").select("doc_id", "text")
+        return found.where("n_hit = 0").select(names)
     if remove != "spans":
         raise ValueError("remove is 'documents' or 'spans'")
-    kind = found.schema["doc_id"].dataType.simpleString()
 
     def task(batches):
         for batch in slices(batches):
@@ -237,6 +242,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, remov
                         at = span["end"]
                     text = b" ".join(kept + words[at:]).decode()
                 out.append(text)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "text"])
+            columns = [pa.array(out, pa.string()) if n == "text" else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return found.select("doc_id", "text", "spans").mapInArrow(task, f"doc_id {kind}, text STRING")
+    return found.select(*names, "spans").mapInArrow(task, found.select(names).schema)

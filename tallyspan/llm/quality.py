@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallyspan.functions.keys import SEED
 from tallyspan.llm.labelled import fold, sample_rows, unique_labels, with_labels
@@ -123,34 +124,38 @@ def train(labelled: DataFrame, passes: int = PASSES) -> np.ndarray:
     return state.weights(slice(None))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, passes: int = PASSES) -> DataFrame:
-    """doc_id, text, held_out, score and predicted of every row of ``docs``.
+def with_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, passes: int = PASSES) -> DataFrame:
+    """All rows and columns of ``docs`` with their ``score``; a column of that name is replaced.
 
     Trained on at most ``train_rows`` labelled rows outside fold ``HELD_OUT``,
     the first by a hash of their id. A null or empty text has no features and
-    scores by the intercept. Every row gives a row, repeated ones too; a null
-    doc_id is not held out. Without labels every score is 0.5. Other columns
-    are ignored.
+    scores by the intercept. Every row gives a row, repeated ones too. Without
+    labels every score is 0.5.
     """
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    docs = docs.drop("score").withColumn("text", F.col("text").cast("string"))
     known = unique_labels(labels, "quality").where(fold("doc_id", FOLDS) != HELD_OUT)
     sample = sample_rows(known, train_rows)
-    shared = texts.sparkSession.sparkContext.broadcast(train(with_labels(texts, sample, train_rows), passes))
+    shared = docs.sparkSession.sparkContext.broadcast(train(with_labels(docs, sample, train_rows), passes))
 
     def task(batches):
         w = shared.value
         for batch in slices(batches):
             found = features(byte_texts(batch))
             odds = np.array([w[-1] + _KINDS * (w[places] @ values) for places, values in found])
-            scores = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(scores)], names=["doc_id", "text", "score"]
-            )
+            scores = pa.array(1 / (1 + np.exp(-np.clip(odds, -30, 30))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "score"])
+
+    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
+    return docs.mapInArrow(task, schema)
+
 
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(task, f"doc_id {kind}, text STRING, score DOUBLE").select(
+def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, passes: int = PASSES) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row of ``docs``, as in :func:`with_quality`.
+
+    A null doc_id is not held out. Other columns are ignored.
+    """
+    return with_quality(docs.select("doc_id", "text"), labels, train_rows, passes).select(
         "doc_id",
-        "text",
         F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),

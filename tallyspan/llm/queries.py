@@ -34,7 +34,7 @@ def op2_toxicity(spark, folder):
 
 def op3_quality_classifier(spark, folder):
     scored = quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
-    return scored.drop("text")
+    return scored
 
 
 def op4_chat_formatting(spark, folder):
