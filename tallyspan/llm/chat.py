@@ -71,6 +71,13 @@ def _key(conv: str | None) -> int | None:
     return None if conv is None else int(conv)
 
 
+def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
+    """Rows as a frame whose integers stay exact beside nulls."""
+    columns = dict(zip(names, zip(*rows, strict=True), strict=True))
+    nullable = ("conv_id", "example")
+    return pd.DataFrame({n: pd.array(c, "Int64") if n in nullable else list(c) for n, c in columns.items()})
+
+
 def expand_examples(
     conversations: DataFrame, target_role: str = "assistant", block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
@@ -107,9 +114,7 @@ def expand_examples(
                 rows.append((conv, seq, example, blocks, shared, "".join(pieces), held, held))
 
         def frame():
-            return pd.DataFrame(rows, columns=names).astype(
-                {"conv_id": "Int64", "example": "Int64"}  # null conv_id, null example of blocks
-            )
+            return _frame(rows, names)
 
         for batch in batches:
             for key, role, text in zip(batch["conv_id"], batch["role"], batch["text"], strict=True):
@@ -193,10 +198,10 @@ def read_back(examples: DataFrame) -> DataFrame:
                 n_loss += len(said)
                 loss.update(said.encode("utf-8", "surrogatepass"))
             if len(done) >= 10_000:
-                yield pd.DataFrame(done, columns=names).astype({"conv_id": "Int64"})
+                yield _frame(done, names)
                 done = []
         close()
         if done:
-            yield pd.DataFrame(done, columns=names).astype({"conv_id": "Int64"})
+            yield _frame(done, names)
 
     return ordered.mapInPandas(task, DIGESTS)

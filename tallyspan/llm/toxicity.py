@@ -149,15 +149,15 @@ def fit_models(counts: DataFrame, order: int = ORDER, rows: int = MODEL_ROWS) ->
     whole, types = np.bincount(part, n), np.bincount(part)
     backoff = np.maximum(n - DISCOUNT, 0) / whole[part] + DISCOUNT * types[part] / whole[part] * single[last]
     known, place = _found(shared, gram & ((1 << 8 * (order - 1)) - 1))
-    below = np.where(known, backoff[place], single[gram & 255])
+    below = _take(backoff, known, place, single[gram & 255])
 
     own, held = _found(at, gram >> 8)
 
     def likelihood(name):
         sums, kinds = _column(contexts, name), _column(contexts, f"{name}_types")
         back = np.where(sums > 0, DISCOUNT * kinds / np.maximum(sums, 1), 1.0)
-        direct = np.maximum(_column(top, name) - DISCOUNT, 0) / np.maximum(sums[held], 1)
-        return np.where(own, direct + back[held] * below, below), back
+        direct = np.maximum(_column(top, name) - DISCOUNT, 0) / np.maximum(_take(sums, own, held, 1.0), 1)
+        return np.where(own, direct + _take(back, own, held, 1.0) * below, below), back
 
     toxic, toxic_back = likelihood("toxic")
     ordinary, ordinary_back = likelihood("ordinary")
@@ -178,16 +178,22 @@ def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return known, np.where(known, at, 0)
 
 
+def _take(values: np.ndarray, known: np.ndarray, at: np.ndarray, otherwise) -> np.ndarray:
+    """What :func:`_found` found, and ``otherwise`` for the rest."""
+    out = np.broadcast_to(np.asarray(otherwise, np.float64), known.shape).copy()
+    out[known] = values[at[known]]
+    return out
+
+
 def ratios(model: dict[str, np.ndarray], text: bytes, order: int = ORDER) -> np.ndarray:
     """Per byte of the text, by how much the toxic log-likelihood is larger."""
     keys = grams(text, order).astype(np.int64)
     if not len(model["gram"]):
         return np.zeros(len(keys))
     known, at = _found(model["gram"], keys)
-    out = np.where(known, model["ratio"][at], 0.0)
+    out = _take(model["ratio"], known, at, 0.0)
     new = np.flatnonzero(~known)
-    seen, place = _found(model["context"], keys[new] >> 8)
-    out[new] = np.where(seen, model["back"][place] if len(model["back"]) else 0.0, 0.0)
+    out[new] = _take(model["back"], *_found(model["context"], keys[new] >> 8), 0.0)
     return out
 
 
