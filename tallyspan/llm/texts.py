@@ -6,9 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Text bytes that one step of a vectorised task works on; a longer single text is a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 # Words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing A-Z: digits, a-z and all bytes above 127.
 ALNUM = bytes(
@@ -28,10 +29,9 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = batch.column(column).cast(pa.binary()).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = size = 0
-        for row, text in enumerate(lengths):
-            n = len(text) if text is not None else 0
+        for row, n in enumerate(lengths):
             if row > start and size + n > limit:
                 yield batch.slice(start, row - start)
                 start, size = row, 0
