@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -62,6 +63,22 @@ def encoding(ranks: dict[bytes, int]) -> tiktoken.Encoding:
     return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+class _Encoder:
+    """A vocabulary that builds its encoder once in each worker it is sent to."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self._built = ranks, None
+
+    def __getstate__(self):
+        return {"ranks": self.ranks, "_built": None}
+
+    def ids(self, text: str) -> array:
+        """The text's ids, as unsigned 32-bit integers."""
+        if self._built is None:
+            self._built = encoding(self.ranks)
+        return array("I", self._built.encode_ordinary(text))
+
+
 def cut(n: int, capacity: int = CAPACITY, tail: int = TAIL) -> list[int]:
     """The lengths of the pieces of ``n`` tokens, in order."""
     lengths = [capacity] * (n // capacity)
@@ -77,18 +94,19 @@ PIECE = "doc_id {}, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BI
 
 
 def _pieces(texts: DataFrame, path: str | None, keep_ids: bool, capacity: int) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(load_ranks(path))
+    shared = texts.sparkSession.sparkContext.broadcast(_Encoder(load_ranks(path)))
     tail = capacity // (CAPACITY // TAIL)
 
     def task(batches):
-        encode = encoding(shared.value)
+        encoder = shared.value
         for batch in slices(batches):
             docs, rows = batch.column("doc_id"), []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                ids = np.array([*encode.encode_ordinary(text or ""), END], np.uint32)
-                start = 0
+                ids = encoder.ids(text or "")
+                ids.append(END)
+                ids, start = np.frombuffer(ids, np.uint32).astype("<u4", copy=False), 0
                 for length in cut(len(ids), capacity, tail):
-                    own = ids[start : start + length].astype("<u4").tobytes()
+                    own = ids[start : start + length].tobytes()
                     kept = own if keep_ids or length < tail else None
                     rows.append((row, start, length, zlib.crc32(own), len(ids), kept))
                     start += length
