@@ -20,22 +20,22 @@ def distance(a: Column | str, b: Column | str) -> Column:
 def is_usable_point(features: Column | str, dimension: int) -> Column:
     """True for a point to keep, false for one with a NaN coordinate.
 
-    Raises for a point of another dimension and for an infinite coordinate.
-    ``array_max`` ranks NaN highest, so two generated-code scans of the array
-    decide, with no lambda.
+    Raises for a point of another dimension and for an infinite or missing
+    coordinate. ``array_max`` ranks NaN highest and skips NULL, so scans of the
+    array in generated code decide, with no lambda.
     """
     features = F.col(features) if isinstance(features, str) else features
     low, high = F.array_min(features), F.array_max(features)
-    infinite = (low == float("-inf")) | (high == float("inf"))
+    missing = F.size(F.array_compact(features)) != F.size(features)
+    infinite = missing | (low == float("-inf")) | (high == float("inf"))
     return (
         F.when(
             F.coalesce(F.size(features), F.lit(-1)) != dimension,
             F.raise_error(F.lit(f"a point does not have {dimension} coordinates")).cast("boolean"),
         )
-        .when(F.isnan(high), F.lit(False))
         .when(
-            F.coalesce(infinite, F.lit(dimension > 0)),
+            F.coalesce(infinite & (missing | ~F.isnan(high)), F.lit(dimension > 0)),
             F.raise_error(F.lit("a point has an infinite or missing coordinate")).cast("boolean"),
         )
-        .otherwise(F.lit(True))
+        .otherwise(F.coalesce(~F.isnan(high), F.lit(True)))
     )

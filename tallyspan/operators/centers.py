@@ -32,11 +32,10 @@ from pyspark.sql import functions as F
 
 from tallyspan import session
 from tallyspan.functions.kernels import distances_to, feature_column, feature_matrix, first_rows
-from tallyspan.functions.keys import SEED, random_order
-from tallyspan.functions.vectors import distance
+from tallyspan.functions.keys import SEED
 from tallyspan.operators.sampling import first_of_each_part
 from tallyspan.session import checkpointed
-from tallyspan.sources.points import dimension_of, with_dimension
+from tallyspan.sources.points import checked_points, dimension_of, with_dimension
 
 # Most pool points of one part in a map task, the bytes of its pools of all
 # parts, and the bytes of one part's pools from as many tasks as are merged.
@@ -46,7 +45,6 @@ MERGE_BYTES = 128 << 20
 MERGE_TASKS = 256
 # Most new centers per part before distances and centers are written down.
 REFRESH_AFTER = 128
-_JOIN_SALTS = 64
 
 CENTER_SCHEMA = (
     "part bigint, rank int, point_id bigint, features array<double>, distance double"
@@ -87,13 +85,11 @@ class _Centers:
         """Most newest centers of one part."""
         return max(map(len, self.ids))
 
-    def array(self) -> np.ndarray:
-        """The newest centers: (round, part, coordinate), filled up with NaN."""
-        table = np.full((self.held(), len(self.parts), self.dimension), np.nan)
-        for at, vectors in enumerate(self.vectors):
-            for rank, vector in enumerate(vectors):
-                table[rank, at] = vector
-        return table
+    def flat(self) -> tuple[np.ndarray, np.ndarray]:
+        """The newest centers in order of part, and where each part's begin (one more at the end)."""
+        starts = np.concatenate(([0], np.cumsum([len(v) for v in self.vectors])))
+        vectors = [v for vs in self.vectors for v in vs]
+        return np.array(vectors).reshape(starts[-1], self.dimension), starts
 
     def chosen(self) -> np.ndarray:
         return np.sort(np.array([i for ids in self.ids for i in ids], np.int64))
@@ -121,30 +117,35 @@ class _Centers:
         self.ids, self.vectors, self.distances = ([[] for _ in self.parts] for _ in range(3))
 
 
-def _nearest(batch: pa.RecordBatch, parts: np.ndarray, newest: np.ndarray):
+def _nearest(batch: pa.RecordBatch, parts: np.ndarray, newest: tuple[np.ndarray, np.ndarray]):
     """Part numbers, ids, coordinates and distance to the nearest center.
 
-    The distance is infinite in a part that has no center.
+    The distance is NaN in a part that has no center; it may overflow to
+    infinity in one that has.
     """
     part = batch.column("part").to_numpy()
     ids = batch.column("point_id").to_numpy()
     matrix = feature_matrix(batch.column("features"))
+    vectors, starts = newest
     at = np.minimum(np.searchsorted(parts, part), len(parts) - 1)
-    strangers = parts[at] != part
+    counts = np.where(parts[at] == part, np.diff(starts)[at], 0)
     if "min_dist" in batch.schema.names:
         nearest = batch.column("min_dist").to_numpy(zero_copy_only=False).copy()
     else:
-        nearest = np.full(len(ids), np.inf)
-    for centers in newest:
-        dist = distances_to(matrix, centers[0] if len(parts) == 1 else centers[at])
-        dist[strangers] = np.nan
-        nearest = np.fmin(nearest, dist)
+        nearest = np.full(len(ids), np.nan)
+    for turn in range(counts.max(initial=0)):
+        rows = np.flatnonzero(counts > turn)
+        if len(parts) == 1 and len(rows) == len(ids):
+            dist = distances_to(matrix, vectors[turn])
+        else:
+            dist = distances_to(matrix[rows], vectors[starts[at[rows]] + turn])
+        nearest[rows] = np.fmin(nearest[rows], dist)
     return part, ids, matrix, nearest
 
 
 def _pools(state: DataFrame, centers: _Centers, rows: int, open_parts: dict) -> DataFrame:
     """Each map task's ``rows`` farthest points of every unfinished part."""
-    parts, newest, chosen = centers.parts, centers.array(), centers.chosen()
+    parts, newest, chosen = centers.parts, centers.flat(), centers.chosen()
     wanted = np.isin(parts, np.array(list(open_parts), np.int64))
 
     def farthest(batches):
@@ -153,7 +154,8 @@ def _pools(state: DataFrame, centers: _Centers, rows: int, open_parts: dict) ->
         for batch in batches:
             part, ids, matrix, nearest = _nearest(batch, parts, newest)
             at = np.minimum(np.searchsorted(parts, part), len(parts) - 1)
-            keep = np.flatnonzero(wanted[at] & (nearest >= floor[at]) & np.isfinite(nearest))
+            # a NaN, for a part without centers, is not at least anything
+            keep = np.flatnonzero(wanted[at] & (parts[at] == part) & (nearest >= floor[at]))
             keep = keep[~np.isin(ids[keep], chosen)]
             if not len(keep):
                 continue
@@ -247,7 +249,7 @@ def _with_distances(
     state: DataFrame, centers: _Centers, keep_features: bool, keep_centers: bool = True
 ) -> DataFrame:
     """Every point with ``min_dist``, its distance to the nearest center."""
-    parts, newest, chosen = centers.parts, centers.array(), centers.chosen()
+    parts, newest, chosen = centers.parts, centers.flat(), centers.chosen()
 
     def measure(batches):
         for batch in batches:
@@ -270,6 +272,14 @@ def _center_bytes(centers: int, dimension: int) -> int:
     return centers * (8 * dimension + 64)
 
 
+def require_fewer(points: DataFrame, k: int, n: int | None = None) -> None:
+    """Check 0 < k < n; without a known n, k + 1 rows are counted at most."""
+    if k >= 1 and n is None:
+        n = points.select(F.lit(1)).limit(k + 1).count()
+    if k < 1 or n <= k:
+        raise ValueError("k must be greater than 0 and smaller than the number of points")
+
+
 def k_center(
     points: DataFrame,
     k: int,
@@ -280,32 +290,54 @@ def k_center(
 ) -> DataFrame:
     """``(part, rank, point_id, features, distance)``: k centers per part.
 
-    Without ``num_parts`` the table is one part, numbered 0. With it, ``points``
-    has a ``part`` column with at most that many values. Ranks count from 1;
-    ``distance`` is the distance to the nearest earlier center, NULL at rank 1.
-    Of equally far points the lowest id is next; a point is chosen only once,
-    and a part of fewer than k points gives all of them. ``first_ids`` sets the
-    first centers, one for each part that shall have centers.
+    Without ``num_parts`` the table is one part, numbered 0, of more than k
+    points. With it, ``points`` has a ``part`` column with at most that many
+    values, and a part of fewer than k points gives all of them. Ranks count
+    from 1; ``distance`` is the distance to the nearest earlier center, NULL at
+    rank 1. Of equally far points the lowest id is next; a point is chosen only
+    once. ``first_ids`` sets the first centers, one for each part that shall
+    have centers.
+
+    Where the newest centers of all parts are too large to hold, groups of
+    parts take turns; parts do not depend on each other, and all go through the
+    same arithmetic.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
+    points = checked_points(points)
+    if num_parts is None:
+        require_fewer(points, k)
     keyed = points if num_parts is not None else points.withColumn("part", F.lit(0).cast("bigint"))
     num_parts = 1 if num_parts is None else num_parts
     dimension = dimension_of(points)
     keyed = keyed.select(F.col("part").cast("bigint").alias("part"), "point_id", "features")
-    # a pass starts with up to this many centers per part and adds as many
-    hold = min(REFRESH_AFTER, session.SMALL_BYTES // (2 * _center_bytes(num_parts, dimension)))
-    if hold < 1:
-        found = _centers_by_join(keyed, k, num_parts, seed, first_ids)
-        return with_dimension(found, dimension)
+    # a pass starts with a center per part at least, adds as many, and groups of parts are uneven
+    turns = math.ceil(4 * _center_bytes(num_parts, dimension) / session.SMALL_BYTES)
+    if turns <= 2:
+        return with_dimension(_traverse(keyed, k, num_parts, dimension, seed, first_ids, pool_rows), dimension)
+    turn = F.pmod(F.xxhash64(F.lit(SEED), "part"), F.lit(turns))
+    found = None
+    for number in range(turns):
+        own = keyed.filter(turn == number)
+        centers = checkpointed(_traverse(own, k, num_parts, dimension, seed, first_ids, pool_rows))
+        found = centers if found is None else found.unionByName(centers)
+    return with_dimension(found, dimension)
+
 
+def _traverse(
+    keyed: DataFrame, k: int, num_parts: int, dimension: int, seed: int, first_ids, pool_rows: int
+) -> DataFrame:
+    """The traversal of all parts together, at most ``num_parts`` of them."""
     rows = _first_centers(keyed, seed, first_ids).limit(num_parts + 1).collect()
     if len({row[0] for row in rows}) != len(rows) or len(rows) > num_parts:
         raise ValueError(f"expected one first center for each of at most {num_parts} parts")
-    spark = points.sparkSession
+    spark = keyed.sparkSession
     if not rows:
         return spark.createDataFrame([], CENTER_SCHEMA)
     centers = _Centers(rows)
+    num_parts = len(rows)
+    # a pass starts with up to this many centers per part and adds as many
+    hold = max(1, min(REFRESH_AFTER, session.SMALL_BYTES // (2 * _center_bytes(num_parts, dimension))))
     row_bytes = 8 * dimension + 32
     few_tasks = all(row["tasks"] and row["tasks"] <= MERGE_TASKS for row in rows)
     merged = max(row["tasks"] for row in rows) if few_tasks else MERGE_TASKS
@@ -337,78 +369,7 @@ def k_center(
     found = spark.createDataFrame(centers.table())
     for earlier in written:
         found = earlier.unionByName(found)
-    return with_dimension(found, dimension)
-
-
-def _centers_by_join(
-    keyed: DataFrame, k: int, num_parts: int, seed: int, first_ids
-) -> DataFrame:
-    """The traversal with its centers in written tables, one pass per center.
-
-    Points are joined with their newest center by (part, salt), so that a large
-    part spreads over many tasks, and the farthest points are merged by (part,
-    salt) before part.
-    """
-    shuffles = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(_JOIN_SALTS, shuffles)
-    salt = F.pmod(F.xxhash64("point_id"), F.lit(salts)).cast("int")
-    infinite = F.lit(float("inf"))
-    state = keyed.withColumn("salt", salt).withColumn("min_dist", infinite)
-    if first_ids is not None:
-        firsts = state.filter(F.col("point_id").isin([int(i) for i in first_ids]))
-    else:
-        least = F.min(F.struct("key", "point_id", "features")).alias("first")
-        ordered = state.withColumn("key", random_order("point_id", seed))
-        per_salt = ordered.groupBy("part", "salt").agg(least).select("part", "first.*")
-        firsts = per_salt.groupBy("part").agg(least).select("part", "first.*")
-    newest = checkpointed(
-        firsts.select(
-            "part",
-            F.lit(1).alias("rank"),
-            "point_id",
-            "features",
-            F.lit(None).cast("double").alias("distance"),
-        )
-    )
-    if newest.count() > num_parts:
-        raise ValueError(f"expected one first center for each of at most {num_parts} parts")
-    result = newest
-    best = F.max(
-        F.struct("min_dist", (-F.col("point_id")).alias("order"), "point_id", "features")
-    ).alias("best")
-    for rank in range(2, k + 1):
-        center = newest.select(
-            "part",
-            F.col("point_id").alias("center_id"),
-            F.col("features").alias("center"),
-            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
-        )
-        joined = state.join(center, ["part", "salt"], "left")
-        to_center = F.coalesce(distance("features", "center"), infinite)
-        # a center leaves the state, never to be chosen again, and so does a
-        # part without any center
-        state = checkpointed(
-            joined.filter(
-                F.col("center_id").isNull() | (F.col("center_id") != F.col("point_id"))
-            )
-            .withColumn("min_dist", F.least("min_dist", to_center))
-            .filter(F.col("min_dist") < infinite)
-            .select("part", "salt", "point_id", "features", "min_dist")
-        )
-        per_salt = state.groupBy("part", "salt").agg(best).select("part", "best.*")
-        newest = checkpointed(
-            per_salt.groupBy("part")
-            .agg(best)
-            .select(
-                "part",
-                F.lit(rank).alias("rank"),
-                "best.point_id",
-                "best.features",
-                F.col("best.min_dist").alias("distance"),
-            )
-        )
-        result = result.unionByName(newest)
-    return result
+    return found
 
 
 def min_distance(points: DataFrame, centers: DataFrame, num_centers: int | None = None) -> DataFrame:
@@ -419,6 +380,7 @@ def min_distance(points: DataFrame, centers: DataFrame, num_centers: int | None
     map task; more than fit there are taken in several passes, each adding to
     the written distances of the one before.
     """
+    points = checked_points(points)
     by_part = "part" in points.columns and "part" in centers.columns
     part = F.col("part").cast("bigint") if by_part else F.lit(0).cast("bigint")
     state = points.select(part.alias("part"), "point_id", "features")
@@ -444,4 +406,4 @@ def min_distance(points: DataFrame, centers: DataFrame, num_centers: int | None
             state = _with_distances(state, gathered, keep_features=False)
     if "min_dist" not in state.columns:
         raise ValueError("there are no centers")
-    return state.select("part", "point_id", "min_dist").filter(F.col("min_dist") < float("inf"))
+    return state.select("part", "point_id", "min_dist").filter(~F.isnan("min_dist"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.functions.keys import partition_key
+from tallyspan.session import checkpointed
 
 
 def with_partition_key(
@@ -85,15 +86,37 @@ def group_values(
 ) -> DataFrame:
     """``(key, chunk, values)``: all values of each key, uncombined.
 
-    A key's list is cut into chunks by value range, so a key that holds a third
-    of the table is spread over many tasks and no array grows beyond
-    ``chunk_rows`` distinct values. Values ascend within a chunk and from chunk
-    to chunk.
+    A key's values, in order, are cut into chunks of ``chunk_rows`` rows, the
+    last one shorter, so a key that holds a third of the table is spread over
+    many tasks whatever its values are. Values ascend within a chunk and from
+    chunk to chunk; NULL values are left out.
+
+    The values are range-sorted and written once, equal ones dealt out too; the
+    rows of each key in each sorted partition then give the key's first
+    position in the next.
     """
-    value = F.col(value_col)
-    # whole numbers throughout: a double would blur large values
-    aligned = value - F.pmod(value, F.lit(chunk_rows))
-    chunk = F.call_function("div", aligned, F.lit(chunk_rows)).alias("chunk")
-    return objects.groupBy(key_col, chunk).agg(
-        F.sort_array(F.collect_list(value_col)).alias("values")
+    rows = objects.select(key_col, value_col).filter(F.col(value_col).isNotNull())
+    mark = F.monotonically_increasing_id()
+    # rows of equal key and value are the same, so any order of them will do
+    ordered = rows.withColumn("_tie", mark).orderBy(key_col, value_col, "_tie").drop("_tie")
+    placed = checkpointed(ordered.withColumn("_mark", mark))
+    split = placed.withColumn("_split", F.shiftright("_mark", 33))
+    runs = split.groupBy(key_col, "_split").agg(
+        F.min("_mark").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    before = Window.partitionBy(key_col).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select(
+        F.col(key_col).alias("_key"),
+        F.col("_split").alias("_part"),
+        "_first",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+    )
+    same = split[key_col].eqNullSafe(starts["_key"]) & (split["_split"] == starts["_part"])
+    position = F.col("_before") + F.col("_mark") - F.col("_first")
+    chunk = F.call_function("div", position, F.lit(chunk_rows)).alias("chunk")
+    return (
+        split.join(starts, same)
+        .select(key_col, chunk, value_col)
+        .groupBy(key_col, "chunk")
+        .agg(F.sort_array(F.collect_list(value_col)).alias("values"))
     )

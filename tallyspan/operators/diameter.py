@@ -13,21 +13,15 @@ from tallyspan import session
 from tallyspan.functions.kernels import distances_to, feature_column, feature_matrix
 from tallyspan.functions.keys import SEED
 from tallyspan.operators.blocks import farthest_pairs
-from tallyspan.operators.centers import k_center
+from tallyspan.operators.centers import k_center, require_fewer
 from tallyspan.operators.sampling import sample_points
 from tallyspan.session import checkpointed
-from tallyspan.sources.points import dimension_of
+from tallyspan.sources.points import checked_points, dimension_of
 
 # Tables above this size are reduced to their outer points before pairing.
 PRUNE_ABOVE = 10_000
 
 
-def require_fewer(points: DataFrame, k: int) -> None:
-    """Check 0 < k < n without counting the table."""
-    if k < 1 or len(points.select(F.lit(1)).take(k + 1)) <= k:
-        raise ValueError("k must be greater than 0 and smaller than the number of points")
-
-
 def _mean(points: DataFrame, n: int) -> np.ndarray:
     def add(batches):
         total = None

@@ -148,14 +148,16 @@ def oracle_sql(parts: int, k: int, k_even: int, k_odd: int, chunk: int) -> dict[
         "class_count_brands": "SELECT p_brand AS gamma, count(*) AS n FROM part GROUP BY 1",
         "partition_sizes": f"SELECT event_id % {parts} AS part, count(*) AS size"
         " FROM events GROUP BY 1",
+        "partition_sizes_physical": f"SELECT {parts}::BIGINT AS parts, least({parts}, count(*))::BIGINT AS filled,"
+        " count(*) AS objects FROM events",
         "max_partition_size": "SELECT max(n) AS max_partition_size FROM"
         f" (SELECT count(*) AS n FROM events GROUP BY event_id % {parts})",
         "most_frequent_class": by_class + " ORDER BY n DESC, gamma LIMIT 1",
         "class_summary": summary("events", "event_id", "event_type"),
         "class_summary_lineitem": summary("lineitem", "l_orderkey", "l_returnflag"),
-        "group_values": f'SELECT event_type AS gamma, event_id // {chunk} AS chunk,'
-        " string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS ids"
-        " FROM events GROUP BY 1, 2",
+        "group_values": "SELECT gamma, chunk, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS ids"
+        " FROM (SELECT event_type AS gamma, event_id, (row_number() OVER"
+        f" (PARTITION BY event_type ORDER BY event_id) - 1) // {chunk} AS chunk FROM events) GROUP BY 1, 2",
         "doc_token_counts": f"WITH tokens AS ({_TOKENS})"
         " SELECT doc_id, word, count(*) AS n FROM tokens GROUP BY 1, 2",
         "word_count": words,

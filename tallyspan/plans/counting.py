@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspan.functions.text import split_tokens
 from tallyspan.operators.classes import count_per_part
-from tallyspan.operators.words import tokens
 
 
 def class_summary(keyed: DataFrame, class_col: str = "gamma") -> DataFrame:
@@ -33,15 +33,21 @@ def class_summary(keyed: DataFrame, class_col: str = "gamma") -> DataFrame:
 
 
 def word_summary(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Documents, different words and their average length, in one row."""
-    different = tokens(docs, text_col).distinct()
-    words = different.agg(
-        F.count(F.lit(1)).alias("distinct_words"),
+    """Documents, different words and their average length, in one row.
+
+    The table is read and shuffled once: each document adds one NULL word, and
+    those are counted like any other word.
+    """
+    words = F.coalesce(split_tokens(text_col), F.array().cast("array<string>"))
+    marked = F.concat(words, F.array(F.lit(None).cast("string")))
+    counts = docs.select(F.explode(marked).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.agg(
+        F.coalesce(F.sum(F.when(F.col("word").isNull(), F.col("n"))), F.lit(0)).alias("documents"),
+        F.count("word").alias("distinct_words"),
         F.sum(F.length("word")).alias("total_length"),
     )
-    documents = docs.agg(F.count(F.lit(1)).alias("documents"))
-    return words.select(
-        documents.scalar().alias("documents"),
+    return totals.select(
+        "documents",
         "distinct_words",
         F.expr("total_length div nullif(distinct_words, 0)").alias("avg_length"),
         F.expr("total_length / nullif(distinct_words, 0)").alias("avg_length_exact"),

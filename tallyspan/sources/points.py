@@ -27,6 +27,22 @@ def with_dimension(points: DataFrame, dimension: int) -> DataFrame:
     return points.withMetadata("features", {_DIMENSION: dimension})
 
 
+def checked_points(points: DataFrame) -> DataFrame:
+    """A table as a point table: rows that never passed :func:`points_from_table` pass its checks now.
+
+    Other columns stay. A point table carries its dimension in its schema and
+    comes back as it is.
+    """
+    if _DIMENSION in points.schema["features"].metadata:
+        return points
+    return _usable(points, dimension_of(points))
+
+
+def _usable(points: DataFrame, dimension: int) -> DataFrame:
+    usable = points.filter(is_usable_point("features", dimension))
+    return with_dimension(usable.withColumn("features", F.col("features").cast("array<double>")), dimension)
+
+
 def points_from_table(
     df: DataFrame,
     id_col: str = "point_id",
@@ -45,9 +61,7 @@ def points_from_table(
     )
     if dimension is None:
         dimension = dimension_of(raw)
-    usable = raw.filter(is_usable_point("features", dimension))
-    points = usable.withColumn("features", F.col("features").cast("array<double>"))
-    return with_dimension(points, dimension)
+    return _usable(raw, dimension)
 
 
 def _coordinates(value: str, mode: str) -> Column:
@@ -64,12 +78,15 @@ def decode_points(
     path: str | None = None,
     mode: str = FAILFAST,
     value: str = "value",
+    dimension: int | None = None,
 ) -> DataFrame:
     """``(point_id, features)`` from lines of comma-separated numbers.
 
     From a session and a path, the point id is the line's position in the file
     order. From a DataFrame of lines that already has a ``position``, that one
-    is used.
+    is used. The rows pass the checks of :func:`points_from_table`: lines with
+    a NaN are left out, others of another dimension than the given one or the
+    first line's, or with an infinite number, raise an error.
     """
     check_mode(mode)
     lines = numbered_lines(source, path) if isinstance(source, SparkSession) else source
@@ -79,7 +96,7 @@ def decode_points(
     )
     if mode == DROPMALFORMED:
         decoded = decoded.filter(F.col("features").isNotNull())
-    return decoded
+    return _usable(decoded, dimension_of(decoded) if dimension is None else dimension)
 
 
 def encode_points(features: Column | str) -> Column:

@@ -117,9 +117,31 @@ def test_group_values_of_large_and_negative_numbers(spark):
     values = [top, top - 1, top - 64, -1, 0, 2**53 + 1, -(2**62)]
     objects = spark.createDataFrame([(v, "a") for v in values], "i bigint, gamma string")
     grouped = ts.group_values(objects, chunk_rows=64).collect()
-    assert sorted((r["chunk"], v) for r in grouped for v in r["values"]) == sorted(
-        (v // 64, v) for v in values
-    )
+    assert [(r["chunk"], r["values"]) for r in grouped] == [(0, sorted(values))]
+
+
+@pytest.mark.parametrize("value", ["7L", "xxhash64(id)", "IF(id % 5 = 0, NULL, id % 3)"])
+def test_group_values_cuts_by_rows(spark, value):
+    """Equal, sparse and missing values give full chunks of one size."""
+    objects = spark.range(0, 20_000, 1, 7).selectExpr(f"{value} AS i", "IF(id % 4 = 0, 'a', NULL) AS gamma")
+    expected = {}
+    for i, gamma in sorted((tuple(r) for r in objects.where("i IS NOT NULL").collect()), key=lambda r: r[0]):
+        expected.setdefault(gamma, []).append(i)
+    found = {}
+    for r in sorted(ts.group_values(objects, chunk_rows=4096).collect(), key=lambda r: r["chunk"]):
+        assert r["chunk"] == len(found.setdefault(r["gamma"], []))
+        found[r["gamma"]].append(r["values"])
+    for gamma, values in expected.items():
+        assert found[gamma] == [values[k : k + 4096] for k in range(0, len(values), 4096)]
+
+
+@pytest.mark.parametrize("separator", list("|.$\\*[ E"))
+def test_any_character_separates(spark, separator):
+    text = separator.join(["a", "b", "", "c", "", ""])
+    found = spark.range(1).select(ts.split_tokens(F.lit(text), separator)).first()[0]
+    assert found == ["a", "b", "", "c"]
+    with pytest.raises(ValueError):
+        ts.split_tokens("text", separator * 2)
 
 
 def test_text_roundtrip(spark, tmp_path, pairs_small):

@@ -86,7 +86,10 @@ def test_duplicates(make_points):
 def test_nan_points_are_left_out(make_points):
     points = make_points([(0, 0), (3, 4), (math.nan, 0)])
     assert one(ts.exact_mpd(points)) == 5.0
-    assert sorted(centers(ts.k_center(points, 3))) == [0, 1]
+    everything = ts.k_center(points.withColumn("part", F.lit(0)), 3, num_parts=1)
+    assert sorted(centers(everything)) == [0, 1]
+    with pytest.raises(ValueError, match="smaller than the number"):
+        ts.k_center(points, 2)
     assert sorted(solution(ts.greedy_matching(points, 3))) == [0, 1]
 
 
@@ -107,7 +110,8 @@ def test_unusable_points(make_points, rows, message):
 def test_no_points(make_points):
     points = make_points([])
     assert one(ts.exact_mpd(points)) == 0.0
-    assert centers(ts.k_center(points, 3)) == []
+    with pytest.raises(ValueError):
+        ts.k_center(points, 3)
     assert solution(ts.greedy_matching(points, 3)) == []
     assert one(ts.avg_pairwise_distance(points)) is None
 

@@ -68,12 +68,12 @@ def test_k_center_is_exact(make_points, monkeypatch, pool, refresh):
 
 def test_k_center_takes_all_points_once(make_points):
     x = grid(40, 2, seed=9, high=3)
-    found = by_part(ts.k_center(make_points(x), 60, pool_rows=8))[0]
+    found = by_part(ts.k_center(make_points(x).withColumn("part", F.lit(0)), 60, num_parts=1, pool_rows=8))[0]
     assert found == brute_centers(x, range(40), 60)
     assert sorted(i for i, _ in found) == list(range(40))
 
 
-@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 1500, 10])
+@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 1500, 600])
 def test_skewed_parts(make_points, monkeypatch, limit):
     """One part holds two thirds of the points; with and without room for centers."""
     monkeypatch.setattr(session, "SMALL_BYTES", limit)
