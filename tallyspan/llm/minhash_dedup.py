@@ -372,7 +372,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE)
     )
     members = checkpointed(_members(classes, chunks))
     links = checkpointed(_near_first(members, classes, limit))
-    groups = connected_components(links)
+    # what has the same lowest link is in one group; buckets tell the rest
+    groups = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
     links = links.unionByName(_mixed_buckets(members, classes, groups, limit))
     groups = connected_components(links).withColumnsRenamed({"id": "cls", "component": "grp"})
     grouped = checkpointed(groups.join(classes, "cls").select("grp", "cls", "sig", "row"))
