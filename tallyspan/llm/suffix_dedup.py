@@ -38,8 +38,8 @@ from tallyspan.session import checkpointed
 LENGTH = 200
 GRAM = 32
 COLLECTION = 4096
-BATCH = 32_768  # pieces in one batch of collections; a collection more at most
-SECTION = 2 << 20  # bytes of text that anchors are found in at a time
+BATCH = 8_192  # pieces in one batch of collections; a collection more at most
+SECTION = 1 << 19  # bytes of text that anchors are found in at a time
 _P = 0x5851F42D4C957F2D
 _INVERSE = pow(_P, -1, 1 << 64)
 _PLACE = np.uint64((1 << 24) - 1)
@@ -118,7 +118,7 @@ def repeated_windows(
     stands for several copies repeats itself.
     """
     n, width = len(texts), reach + length
-    symbols = np.full((width, n), _OUTSIDE, np.int64)  # a row is a column of the construction
+    symbols = np.full((width, n), _OUTSIDE, np.uint16)  # a row is a column of the construction
     for k, text in enumerate(texts):
         at = reach - before[k]
         symbols[at : at + len(text), k] = np.frombuffer(text, np.uint8)
