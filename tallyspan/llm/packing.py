@@ -124,7 +124,7 @@ def _pieces(texts: DataFrame, path: str | None, keep_ids: bool, capacity: int) -
 def _numbered(pieces: DataFrame, buckets: int) -> DataFrame:
     """Number the pieces of each length from 0 (column ``number``)."""
     bucket = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "start", "ids_crc32"), F.lit(buckets))
-    pieces = pieces.withColumn("bucket", bucket)
+    pieces = checkpointed(pieces.withColumn("bucket", bucket))  # read twice, made once
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = pieces.groupBy("length", "bucket").count()
     first = first.select("length", "bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("first"))
