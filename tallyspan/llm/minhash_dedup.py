@@ -12,7 +12,7 @@ within that distance by ``SIGMAS`` standard deviations.
 
 Documents with equal sets are taken together first. Then
 
-1. members of a key's bucket are compared with its first member by signature,
+1. members of buckets are compared with the lowest of their buckets' first members by signature,
 2. buckets that still join different groups are compared whole, in tiles of
    two blocks; what comes back is a spanning forest, never pairs,
 3. in each resulting group the full sets are compared with the set nearest to
@@ -42,6 +42,7 @@ from tallyspan.session import broadcast_if_small, checkpointed
 SHINGLE = 5
 WIDTH = 6
 SIGMAS = 4.2
+FIRSTS = 4  # bucket firsts that a document is compared with at the start
 BUCKET_BLOCK = 1024  # signatures in a block of a bucket
 SET_BLOCK = 128  # full sets in a block of a group
 
@@ -141,8 +142,10 @@ def _members(classes: DataFrame, chunks: int) -> DataFrame:
 
 
 def _near_first(members: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
-    """Links (a, b) between members and the first of their bucket, by signature."""
-    pairs = members.where("cls <> first").select(F.col("cls").alias("a"), F.col("first").alias("b")).distinct()
+    """Links (a, b) between members and the lowest firsts of their buckets, by signature."""
+    firsts = F.array_sort(F.collect_set("first"))  # one for each of the signature's keys at most
+    lowest = members.where("cls <> first").groupBy(F.col("cls").alias("a")).agg(firsts.alias("firsts"))
+    pairs = lowest.select("a", F.explode(F.slice("firsts", 1, FIRSTS)).alias("b"))
     sigs = classes.select("cls", "sig")
     joined = pairs.join(sigs.withColumnsRenamed({"cls": "a", "sig": "x"}), "a")
     joined = joined.join(sigs.withColumnsRenamed({"cls": "b", "sig": "y"}), "b").select("a", "b", "x", "y")
@@ -372,8 +375,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE)
     )
     members = checkpointed(_members(classes, chunks))
     links = checkpointed(_near_first(members, classes, limit))
-    # what has the same lowest link is in one group; buckets tell the rest
-    groups = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+    # what leads to the same class in two steps is in one group; buckets tell the rest
+    lowest = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+    further = lowest.select(F.col("id").alias("component"), F.col("component").alias("next"))
+    groups = lowest.join(further, "component", "left").select("id", F.coalesce("next", "component").alias("component"))
     links = links.unionByName(_mixed_buckets(members, classes, groups, limit))
     groups = connected_components(links).withColumnsRenamed({"id": "cls", "component": "grp"})
     grouped = checkpointed(groups.join(classes, "cls").select("grp", "cls", "sig", "row"))
