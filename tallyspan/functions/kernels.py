@@ -72,25 +72,48 @@ def first_rows(group: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: int)
 class FarthestPairs:
     """The first ``rows`` pairs by (squared distance descending, i, j).
 
-    Pairs of a squared distance below ``floor`` are of no interest.
+    Pairs of a squared distance below ``floor`` are of no interest, nor, with a
+    ``cap``, pairs with a point that has ``cap`` earlier pairs. ``bound`` is a
+    squared distance that no other pair left out exceeds.
     """
 
-    def __init__(self, rows: int, floor: float = -np.inf):
+    def __init__(self, rows: int, floor: float = -np.inf, cap: int | None = None):
         self.rows = rows
         self.floor = floor
+        self.cap = cap
+        self.bound = -np.inf
         self.d2 = np.empty(0)
         self.i = np.empty(0, np.int64)
         self.j = np.empty(0, np.int64)
 
     def _floor(self) -> float:
-        return self.d2[-1] if len(self.d2) == self.rows else self.floor
+        if len(self.d2) < self.rows:
+            return self.floor
+        self.bound = max(self.bound, self.d2[-1])
+        return self.d2[-1]
+
+    def _within_cap(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Of pairs in order, those whose points have fewer than ``cap`` pairs before."""
+        ends = np.concatenate([i, j])
+        turn = np.tile(np.arange(len(i)), 2)
+        order = np.lexsort((turn, ends))
+        starts = np.flatnonzero(np.r_[True, ends[order][1:] != ends[order][:-1]])
+        lengths = np.diff(np.r_[starts, len(order)])
+        before = np.empty(len(order), np.int64)
+        before[order] = np.arange(len(order)) - np.repeat(starts, lengths)
+        return np.maximum(before[: len(i)], before[len(i) :]) < self.cap
 
     def _add(self, d2: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         keep = d2 >= self._floor()
         d2 = np.concatenate([self.d2, d2[keep]])
         i = np.concatenate([self.i, np.minimum(a, b)[keep]])
         j = np.concatenate([self.j, np.maximum(a, b)[keep]])
-        order = np.lexsort((j, i, -d2))[: self.rows]
+        order = np.lexsort((j, i, -d2))
+        if self.cap is not None and len(order):
+            order = order[self._within_cap(i[order], j[order])]
+        if len(order) > self.rows:
+            self.bound = max(self.bound, d2[order[self.rows]])
+        order = order[: self.rows]
         self.d2, self.i, self.j = d2[order], i[order], j[order]
 
     def compare(self, ids_a, a, ids_b, b, same_block: bool) -> None:
@@ -132,9 +155,18 @@ class FarthestPairs:
         else:
             possible = rough >= cut
             found = np.count_nonzero(possible)
+            if found > self.rows and self.cap is not None:
+                # a point's pairs beyond its first ones in this tile
+                for axis in (0, 1):
+                    if self.cap < rough.shape[axis]:
+                        place = rough.shape[axis] - self.cap
+                        least = np.partition(rough, place, axis).take([place], axis)
+                        possible &= rough >= least - 2 * slack
+                found = np.count_nonzero(possible)
             if found > self.rows:
                 last = np.partition(rough[possible], found - self.rows)[found - self.rows]
                 possible &= rough >= last - 2 * slack
+                self.bound = max(self.bound, last + slack)
         x, y = np.nonzero(possible)
         step = max(1, 8 * _SCRATCH // max(a.shape[1], 1))
         for first in range(0, len(x), step):

@@ -287,6 +287,7 @@ def k_center(
     seed: int = SEED,
     first_ids=None,
     pool_rows: int = POOL_ROWS,
+    written: bool = False,
 ) -> DataFrame:
     """``(part, rank, point_id, features, distance)``: k centers per part.
 
@@ -300,11 +301,14 @@ def k_center(
 
     Where the newest centers of all parts are too large to hold, groups of
     parts take turns; parts do not depend on each other, and all go through the
-    same arithmetic.
+    same arithmetic. The points are written once before the passes, unless they
+    are ``written`` already, so that all passes see the same.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     points = checked_points(points)
+    if not written:
+        points = checkpointed(points)
     if num_parts is None:
         require_fewer(points, k)
     keyed = points if num_parts is not None else points.withColumn("part", F.lit(0).cast("bigint"))
@@ -321,6 +325,8 @@ def k_center(
         own = keyed.filter(turn == number)
         centers = checkpointed(_traverse(own, k, num_parts, dimension, seed, first_ids, pool_rows))
         found = centers if found is None else found.unionByName(centers)
+    if found.filter("rank = 1").count() > num_parts:
+        raise ValueError(f"expected one first center for each of at most {num_parts} parts")
     return with_dimension(found, dimension)
 
 

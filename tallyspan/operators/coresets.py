@@ -35,4 +35,5 @@ def coreset(
     A part of fewer than k points gives all of them, an empty one none.
     """
     keyed = with_parts(points, parts, partitioning)
-    return k_center(keyed, k, num_parts=parts, seed=seed, first_ids=first_ids)
+    written = partitioning == "physical"
+    return k_center(keyed, k, num_parts=parts, seed=seed, first_ids=first_ids, written=written)

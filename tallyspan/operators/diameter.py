@@ -12,14 +12,20 @@ from pyspark.sql import functions as F
 from tallyspan import session
 from tallyspan.functions.kernels import distances_to, feature_column, feature_matrix
 from tallyspan.functions.keys import SEED
-from tallyspan.operators.blocks import farthest_pairs
+from tallyspan.operators.blocks import (
+    block_count,
+    compare_blocks,
+    farthest_pairs,
+    plan_blocks,
+    planned_pairs,
+)
 from tallyspan.operators.centers import k_center, require_fewer
 from tallyspan.operators.sampling import sample_points
 from tallyspan.session import checkpointed
-from tallyspan.sources.points import checked_points, dimension_of
+from tallyspan.sources.points import checked_points, dimension_of, with_dimension
 
-# Tables above this size are reduced to their outer points before pairing.
-PRUNE_ABOVE = 10_000
+# Most clusters that the points are divided into before their blocks are paired.
+CLUSTERS = 64
 
 
 def _mean(points: DataFrame, n: int) -> np.ndarray:
@@ -78,6 +84,8 @@ def outer_points(points: DataFrame, n: int) -> tuple[DataFrame, float]:
     length, end = _farthest(points, start)
     length = max(length, _farthest(points, end)[0])
     bound = (length - radius) - 1e-9 * (length + radius + np.abs(mean).max(initial=0.0))
+    if not np.isfinite(bound):  # sums or distances beyond the largest number say nothing
+        return points, 0.0
     if bound <= 0:
         return points, length
 
@@ -92,20 +100,35 @@ def outer_points(points: DataFrame, n: int) -> tuple[DataFrame, float]:
     return checkpointed(kept), length
 
 
-def exact_mpd(points: DataFrame, n: int | None = None) -> DataFrame:
+def exact_mpd(points: DataFrame, n: int | None = None, written: bool = False) -> DataFrame:
     """One row ``max_distance``: the largest distance of any two points.
 
-    0 for fewer than two points. The pairs are compared block by block, after a
-    large table has been reduced to the points that matter.
+    0 for fewer than two points. The points are written once, unless they are
+    ``written`` already, and reduced to those that matter. These are divided
+    among farthest-first centers; blocks whose points cannot be as far apart as
+    a pair found before are not compared, and the others block by block.
     """
+    points = checked_points(points).select("point_id", "features")
+    if not written:
+        points = checkpointed(points)
     if n is None:
         n = points.count()
-    floor = 0.0
-    if n > PRUNE_ABOVE:
-        points, length = outer_points(points, n)
-        floor = (length * (1 - 1e-9)) ** 2
-        n = points.count()
-    farthest = farthest_pairs(points, 1, n, floor)
+    if n < 2:
+        return points.sparkSession.range(1).select(F.lit(0.0).alias("max_distance"))
+    dimension = dimension_of(points)
+    outer, length = outer_points(points, n)
+    outer = with_dimension(outer, dimension)
+    n = outer.count()
+    floor = (length * (1 - 1e-9)) ** 2
+    blocks = block_count(n, dimension, points.sparkSession.sparkContext.defaultParallelism)
+    if blocks == 1:  # nothing to leave out
+        farthest = farthest_pairs(outer, 1, n, floor)
+    else:
+        wanted = min(CLUSTERS, 2 * blocks, n - 1)
+        found = k_center(outer, wanted, written=True).select("features").collect()  # CLUSTERS rows
+        centers = np.array([row["features"] for row in found])
+        plan = plan_blocks(outer, centers, -(-n // blocks), length)
+        farthest = compare_blocks(planned_pairs(outer, plan), 1, floor)
     return farthest.agg(F.coalesce(F.sqrt(F.max("d2")), F.lit(0.0)).alias("max_distance"))
 
 
@@ -141,20 +164,26 @@ def max_distance_to(points: DataFrame, sample: DataFrame, k: int) -> DataFrame:
 
 
 def two_approx_mpd(
-    points: DataFrame, k: int, seed: int = SEED, with_replacement: bool = False
+    points: DataFrame,
+    k: int,
+    seed: int = SEED,
+    with_replacement: bool = False,
+    n: int | None = None,
 ) -> DataFrame:
     """One row ``max_distance``: the largest distance to k seeded sample points.
 
     At least half of the largest distance of any two points.
     """
-    require_fewer(points, k)
+    points = checked_points(points)
+    require_fewer(points, k, n)
     return max_distance_to(points, sample_points(points, k, seed, with_replacement), k)
 
 
-def k_center_mpd(points: DataFrame, k: int, seed: int = SEED, first_ids=None) -> DataFrame:
+def k_center_mpd(
+    points: DataFrame, k: int, seed: int = SEED, first_ids=None, written: bool = False
+) -> DataFrame:
     """One row ``max_distance``: the largest distance of k farthest-first centers.
 
     Never more than the largest distance of any two points.
     """
-    require_fewer(points, k)
-    return exact_mpd(k_center(points, k, seed=seed, first_ids=first_ids), k)
+    return exact_mpd(k_center(points, k, seed=seed, first_ids=first_ids, written=written), k)

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.operators.blocks import farthest_pairs, pairwise_distance_sum
+from tallyspan.operators.blocks import leading_pairs, pairwise_distance_sum
+from tallyspan.operators.sampling import dense_positions
 from tallyspan.session import broadcast_if_small
+from tallyspan.sources.points import checked_points
 
 # Most pairs that one pass returns to the driver.
 PAIR_POOL = 4_096
+# Most pairs that one pass settles.
+PASS_PAIRS = 64
 
 
 def pairs_needed(candidates: int, rounds: int) -> int:
@@ -44,27 +48,32 @@ def greedy_matching(
     lowest id at the end. With k at or above the number of points all are
     taken, in id order.
 
-    A pass over the block pairs returns the farthest pairs in order, as many as
-    can matter or as one pass may return. Taking from that list is exact until
-    it runs out, since every pair outside it comes later; then another pass
-    looks at the remaining points.
+    A pass over the block pairs returns farthest pairs in order, at most
+    ``pair_pool``, and of each point only its first few: whatever else a point
+    is in cannot be taken before those few partners are used up. So one point
+    that is far from all others does not fill the list, and a pass settles
+    ``PASS_PAIRS`` pairs unless the list ends before. Then another pass looks
+    at the remaining points.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    points = points.select("point_id", "features")
+    points = checked_points(points).select("point_id", "features")
     if n is None:
         n = points.count()
     if k >= n:
-        rank = F.row_number().over(Window.orderBy("point_id"))
-        return points.select(rank.alias("rank"), "point_id", "features")
+        places = dense_positions(points, "point_id")
+        ranked = places.select((F.col("position") + 1).cast("int").alias("rank"), "point_id")
+        return points.join(broadcast_if_small(ranked, n), "point_id").select("rank", "point_id", "features")
     taken: list[int] = []
-    used: set[int] = set()
     while len(taken) < k - k % 2:
         rest = remaining_candidates(points, _ids(points, taken), len(taken)) if taken else points
-        left = n - len(taken)
-        wanted = min(pairs_needed(left, k // 2 - len(taken) // 2), pair_pool)
-        for i, j, _ in farthest_pairs(rest, wanted, left).collect():
-            if i not in used and j not in used and len(taken) < k - k % 2:
+        left, rounds = n - len(taken), k // 2 - len(taken) // 2
+        settle = min(rounds, PASS_PAIRS)
+        # before the last of these pairs, 2 * settle - 2 partners of a point can be used up
+        pairs, sure = leading_pairs(rest, min(pairs_needed(left, rounds), pair_pool), 2 * settle - 1, left)
+        used: set[int] = set()
+        for i, j in pairs[:sure]:
+            if i not in used and j not in used and len(used) < 2 * settle:
                 taken += [i, j]
                 used |= {i, j}
     if k % 2:

@@ -6,17 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.functions.keys import SEED
+from tallyspan.operators.centers import require_fewer
 from tallyspan.operators.coresets import coreset
 from tallyspan.operators.diameter import exact_mpd, k_center_mpd, two_approx_mpd
 from tallyspan.operators.matching import avg_pairwise_distance, greedy_matching
+from tallyspan.session import checkpointed
+from tallyspan.sources.points import checked_points
 
 
 def mpd_compare(points: DataFrame, k: int, seed: int = SEED) -> DataFrame:
-    """``(algorithm, k, max_distance)`` of the three largest-distance algorithms."""
+    """``(algorithm, k, max_distance)`` of the three largest-distance algorithms.
+
+    The points are read and counted once, and written for all three.
+    """
+    points = checkpointed(checked_points(points))
+    n = points.count()
+    require_fewer(points, k, n)
     answers = {
-        "exact": (None, exact_mpd(points)),
-        "sample": (k, two_approx_mpd(points, k, seed)),
-        "k_center": (k, k_center_mpd(points, k, seed)),
+        "exact": (None, exact_mpd(points, n, written=True)),
+        "sample": (k, two_approx_mpd(points, k, seed, n=n)),
+        "k_center": (k, k_center_mpd(points, k, seed, written=True)),
     }
     rows = None
     for name, (used, answer) in answers.items():

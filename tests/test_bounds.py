@@ -3,11 +3,13 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import tallyspan as ts
 from tallyspan import session
+from tallyspan.operators import blocks, diameter, matching
 from tallyspan.operators.centers import _Centers
 
 
@@ -72,3 +74,67 @@ def test_centers_of_skewed_parts_stay_small():
     vectors, starts = centers.flat()
     assert vectors.nbytes + starts.nbytes < 1 << 20
     assert vectors[starts[7] : starts[8]].sum() == 500 * 64
+
+
+def brute_matching(x, k):
+    left, taken = list(range(len(x))), []
+    d2 = np.square(x[:, None] - x[None]).sum(-1)
+    while len(taken) < k - k % 2:
+        pairs = [(-d2[i, j], i, j) for a, i in enumerate(left) for j in left[a + 1 :]]
+        _, i, j = min(pairs)
+        taken += [i, j]
+        left = [p for p in left if p not in (i, j)]
+    return taken + ([left[0]] if k % 2 else [])
+
+
+@pytest.mark.parametrize(("pool", "settle"), [(4096, 64), (50, 64), (7, 2), (1, 1)])
+@pytest.mark.parametrize("grid", [False, True])
+def test_matching_with_outliers_is_exact(make_points, monkeypatch, pool, settle, grid):
+    monkeypatch.setattr(matching, "PASS_PAIRS", settle)
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 3, (60, 2)).astype(float) if grid else rng.normal(size=(60, 2))
+    x[[5, 17, 40]] = [[100, 0], [200, 0], [400, 0]]
+    found = ts.greedy_matching(make_points(x), 9, pair_pool=pool).orderBy("rank").collect()
+    assert [r["point_id"] for r in found] == brute_matching(x, 9)
+
+
+def test_outliers_do_not_cost_passes(make_points, monkeypatch):
+    passes = []
+    plain = blocks.leading_pairs
+    monkeypatch.setattr(matching, "leading_pairs", lambda *a: passes.append(1) or plain(*a))
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(size=(3000, 2)), [[100.0 * 2**i, 0] for i in range(10)]])
+    found = ts.greedy_matching(make_points(x), 10).orderBy("rank").collect()
+    assert len(passes) <= 2
+    assert 3009 in [r["point_id"] for r in found[:2]]
+
+
+def test_all_points_are_numbered_without_one_window(make_points):
+    points = make_points([(i, 0) for i in range(20)])
+    found = ts.greedy_matching(points, 25).orderBy("rank").collect()
+    assert [(r["rank"], r["point_id"]) for r in found] == [(i + 1, i) for i in range(20)]
+
+
+def test_clustered_vectors_skip_block_pairs(spark, monkeypatch):
+    plans = []
+    plain = diameter.plan_blocks
+    monkeypatch.setattr(diameter, "plan_blocks", lambda *a: plans.append(plain(*a)) or plans[-1])
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 4_000)
+    rng = np.random.default_rng(6)
+    middle = rng.normal(size=(12, 6))
+    x = middle[rng.integers(0, 12, 100_000)] + rng.normal(size=(100_000, 6)) * 0.02
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = pa.table({"point_id": np.arange(len(x)), "features": list(x)})
+    found = ts.exact_mpd(spark.createDataFrame(table)).first()[0]
+    assert plans and plans[0].kept < 0.2 * plans[0].total
+    u = x[rng.integers(0, 100_000, 2_000)]
+    assert np.sqrt(np.square(u[:, None] - u[None]).sum(-1)).max() <= found <= 2
+
+
+@pytest.mark.parametrize("width", [1, 2, 8])
+def test_largest_distance_in_planned_blocks(make_points, monkeypatch, width):
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 40)
+    x = np.random.default_rng(width).normal(size=(300, width))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    d = np.sqrt(np.square(x[:, None] - x[None]).sum(-1)).max()
+    assert ts.exact_mpd(make_points(x)).first()[0] == pytest.approx(d, abs=1e-12)

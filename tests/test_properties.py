@@ -86,7 +86,7 @@ def test_skewed_parts(make_points, monkeypatch, limit):
     assert found == {p: brute_centers(x, ids, 6) for p, ids in groups.items()}
 
 
-@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 10])
+@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 250])
 def test_parts_without_a_first_center_give_none(make_points, monkeypatch, limit):
     monkeypatch.setattr(session, "SMALL_BYTES", limit)
     x = grid(40, 2, seed=11)
@@ -96,7 +96,7 @@ def test_parts_without_a_first_center_give_none(make_points, monkeypatch, limit)
     assert all(len(rows) == 3 for rows in found.values())
 
 
-@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 10])
+@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 250])
 def test_too_many_parts_are_refused(make_points, monkeypatch, limit):
     monkeypatch.setattr(session, "SMALL_BYTES", limit)
     points = make_points(grid(9, 2, 1)).withColumn("part", F.col("point_id"))
@@ -206,8 +206,7 @@ def test_distance_sum_kernel():
 
 
 @pytest.mark.parametrize("width", [1, 2, 5])
-def test_outer_points_keep_the_longest_pair(make_points, monkeypatch, width):
-    monkeypatch.setattr(diameter, "PRUNE_ABOVE", 10)
+def test_outer_points_keep_the_longest_pair(make_points, width):
     x = 100 + np.random.default_rng(width).normal(size=(400, width))
     points = make_points(x)
     assert diameter.outer_points(points, 400)[0].count() < 400
@@ -215,8 +214,7 @@ def test_outer_points_keep_the_longest_pair(make_points, monkeypatch, width):
     assert ts.exact_mpd(points).first()[0] == pytest.approx(d.max(), abs=1e-12)
 
 
-def test_outer_points_of_equal_points(make_points, monkeypatch):
-    monkeypatch.setattr(diameter, "PRUNE_ABOVE", 2)
+def test_outer_points_of_equal_points(make_points):
     assert ts.exact_mpd(make_points([(0.1, 0.7)] * 30)).first()[0] == 0.0
 
 
@@ -242,7 +240,7 @@ def test_large_sample_is_read_in_shares(make_points, monkeypatch):
     assert found == np.sqrt(((x[:, None] - x[chosen][None]) ** 2).sum(-1)).max()
 
 
-@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 10])
+@pytest.mark.parametrize("limit", [session.SMALL_BYTES, 250])
 def test_samples(make_points, monkeypatch, limit):
     monkeypatch.setattr(session, "SMALL_BYTES", limit)
     points = make_points(grid(200, 2, seed=1), slices=6)
