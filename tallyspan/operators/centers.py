@@ -307,18 +307,29 @@ def k_center(
     if k < 1:
         raise ValueError("k must be at least 1")
     points = checked_points(points)
-    if not written:
-        points = checkpointed(points)
+    dimension = dimension_of(points)
     if num_parts is None:
         require_fewer(points, k)
     keyed = points if num_parts is not None else points.withColumn("part", F.lit(0).cast("bigint"))
     num_parts = 1 if num_parts is None else num_parts
-    dimension = dimension_of(points)
     keyed = keyed.select(F.col("part").cast("bigint").alias("part"), "point_id", "features")
+    path = None
+    if not written:
+        keyed, path = session.written(keyed, "points")
+    found = _in_turns(keyed, k, num_parts, dimension, seed, first_ids, pool_rows)
+    if path:  # the centers are held or written by themselves
+        session.discard(keyed.sparkSession, path)
+    return with_dimension(found, dimension)
+
+
+def _in_turns(
+    keyed: DataFrame, k: int, num_parts: int, dimension: int, seed: int, first_ids, pool_rows: int
+) -> DataFrame:
+    """The traversal of all parts, or of groups of parts whose centers can be held."""
     # a pass starts with a center per part at least, adds as many, and groups of parts are uneven
     turns = math.ceil(4 * _center_bytes(num_parts, dimension) / session.SMALL_BYTES)
     if turns <= 2:
-        return with_dimension(_traverse(keyed, k, num_parts, dimension, seed, first_ids, pool_rows), dimension)
+        return _traverse(keyed, k, num_parts, dimension, seed, first_ids, pool_rows)
     turn = F.pmod(F.xxhash64(F.lit(SEED), "part"), F.lit(turns))
     found = None
     for number in range(turns):
@@ -327,7 +338,7 @@ def k_center(
         found = centers if found is None else found.unionByName(centers)
     if found.filter("rank = 1").count() > num_parts:
         raise ValueError(f"expected one first center for each of at most {num_parts} parts")
-    return with_dimension(found, dimension)
+    return found
 
 
 def _traverse(
@@ -351,11 +362,14 @@ def _traverse(
         1,
         min(pool_rows, POOL_BYTES // (num_parts * row_bytes), MERGE_BYTES // (merged * row_bytes)),
     )
-    state = keyed
+    state, before = keyed, None
     written = []
     while room := centers.room(k, hold):
         if centers.held() > hold:
-            state = checkpointed(_with_distances(state, centers, True, keep_centers=False))
+            state, path = session.written(_with_distances(state, centers, True, keep_centers=False), "distances")
+            if before:
+                session.discard(spark, before)
+            before = path
             written.append(checkpointed(spark.createDataFrame(centers.table())))
             centers.forget()
         pools = _pools(state, centers, pool_rows, room)
@@ -372,6 +386,8 @@ def _traverse(
         for at, part in enumerate(centers.parts):
             if int(part) in room and int(part) not in reached:
                 centers.finished[at] = True
+    if before:
+        session.discard(spark, before)
     found = spark.createDataFrame(centers.table())
     for earlier in written:
         found = earlier.unionByName(found)

@@ -53,3 +53,16 @@ def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = 64) -> DataFra
     A larger table is left as it is, and Spark joins it by shuffling.
     """
     return F.broadcast(df) if rows * row_bytes <= SMALL_BYTES else df
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, read again, and where it is; see :func:`discard`."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table at a :func:`scratch_path`, with the folder made for it, when nothing reads it any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

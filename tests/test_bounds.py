@@ -1,6 +1,7 @@
 """Size bounds change plans, never answers; odd coordinates are refused or counted in full."""
 
 import math
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import tallyspan as ts
 from tallyspan import session
-from tallyspan.operators import blocks, diameter, matching
+from tallyspan.operators import blocks, centers, diameter, matching
 from tallyspan.operators.centers import _Centers
 
 
@@ -138,3 +139,19 @@ def test_largest_distance_in_planned_blocks(make_points, monkeypatch, width):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     d = np.sqrt(np.square(x[:, None] - x[None]).sum(-1)).max()
     assert ts.exact_mpd(make_points(x)).first()[0] == pytest.approx(d, abs=1e-12)
+
+
+def test_superseded_tables_are_deleted(spark, make_points, monkeypatch):
+    monkeypatch.setattr(centers, "REFRESH_AFTER", 2)
+    folder = session.checkpoint_folder(spark).removeprefix("file:")
+    most, plain = [], session.written
+
+    def tables():
+        return {name for name in os.listdir(folder) if name.startswith("tallyspan-")}
+
+    before = tables()
+    monkeypatch.setattr(session, "written", lambda *a: (plain(*a), most.append(len(tables() - before)))[0])
+    found = ts.k_center(make_points(np.random.default_rng(1).normal(size=(60, 2))), 11)
+    assert found.count() == 11
+    assert len(most) >= 3 and max(most) <= 3  # the points, a generation, and the one before it
+    assert tables() == before
