@@ -10,7 +10,7 @@ from tallyspan.llm.line_dedup import remove_repeated_lines
 from tallyspan.llm.minhash_dedup import deduplicate
 from tallyspan.llm.packing import pack
 from tallyspan.llm.quality import THRESHOLD, with_quality
-from tallyspan.session import scratch_path
+from tallyspan.session import discard, scratch_path
 
 # No SQL expresses the classifier, the tokenizer, or the choices of the packing.
 ORACLE_SQL = None
@@ -59,10 +59,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents; each result is written to the shared folder and read again.
+
+    A table goes once the next one is written.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs
