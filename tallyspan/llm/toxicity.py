@@ -16,14 +16,16 @@ counts did not see.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.llm.labelled import fold, sample_rows, unique_labels, with_labels
-from tallyspan.llm.texts import byte_texts, plain_words, slices
-from tallyspan.session import checkpointed
+from tallyspan.llm.texts import SLICE_BYTES, byte_texts, plain_words, slices
+from tallyspan.session import checkpointed, discard, written
 
 ORDER = 5
 WINDOW = 12
@@ -32,7 +34,8 @@ FOLDS = 5
 HELD_OUT = 0  # fold that is never learned from
 CURVE = 4  # fold that the logistic curve is fitted on
 CURVE_ROWS = 20_000  # most rows for the curve
-MODEL_ROWS = 1 << 21  # most n-grams in the model; beyond, those with the lowest counts are left to the backoff
+SHARE_ROWS = 1 << 21  # most n-grams of the model that a task or the driver holds at once
+SHARE_SLICES = 8  # slices of text that a task takes together when the model has several shares
 _BYTE = np.uint64(8)
 _MERGE_ROWS = 1 << 20
 
@@ -99,74 +102,95 @@ def count_grams(labelled: DataFrame, order: int = ORDER) -> DataFrame:
     return parts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def _cutoff(counts: DataFrame, column: str, rows: int) -> int:
-    """The lowest count that at most ``rows`` rows reach."""
-    by_size = counts.groupBy(F.least(F.col(column), F.lit(10_000)).alias("n")).count().collect()  # 10,000 rows at most
-    left, lowest = 0, 10_001
-    for row in sorted(by_size, key=lambda r: -r["n"]):
-        left += row["count"]
-        if left > rows:
-            break
-        lowest = row["n"]
-    return lowest
-
-
-def _column(rows, name: str, kind=np.float64) -> np.ndarray:
-    return rows[name].to_numpy().astype(kind)
-
+def weights(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(gram, context, ratio, back) of every n-gram, with the n-grams of one context side by side in one partition.
 
-def fit_models(counts: DataFrame, order: int = ORDER, rows: int = MODEL_ROWS) -> dict[str, np.ndarray]:
-    """Log-likelihood ratios of n-grams, and of backing off from each context, as sorted arrays.
-
-    All sums run over all n-grams in Spark; only then are n-grams below the
-    cutoff left out. The result holds at most ``rows`` n-grams and contexts.
+    ``ratio`` is the n-gram's log-likelihood ratio and ``back`` that of backing
+    off from its context. Counts of at most 256 rows meet in one group.
     """
-    counts = checkpointed(counts.withColumn("total", F.col("toxic") + F.col("ordinary")))
-    context = F.shiftright("gram", 8).alias("context")
-    contexts = counts.groupBy(context).agg(
-        F.sum("toxic").alias("toxic"),
-        F.sum("ordinary").alias("ordinary"),
-        F.count_if(F.col("toxic") > 0).alias("toxic_types"),
-        F.count_if(F.col("ordinary") > 0).alias("ordinary_types"),
-        F.sum("total").alias("total"),
-    )
-    lower = counts.groupBy(F.col("gram").bitwiseAND((1 << 8 * (order - 1)) - 1).alias("gram")).agg(
-        F.count(F.lit(1)).alias("total")
-    )
-    top = counts.where(F.col("total") >= _cutoff(counts, "total", rows)).toPandas().sort_values("gram")
-    contexts = contexts.where(F.col("total") >= _cutoff(contexts, "total", rows)).toPandas().sort_values("context")
-    lower = lower.where(F.col("total") >= _cutoff(lower, "total", rows)).toPandas().sort_values("gram")
-    gram, at = _column(top, "gram", np.int64), _column(contexts, "context", np.int64)
-    if not len(gram):
-        return {"gram": gram, "ratio": np.empty(0), "context": at, "back": np.empty(0)}
-
+    counts = checkpointed(counts)
     # the shared backoff: continuation counts, themselves smoothed by those of single bytes
-    shared, n = _column(lower, "gram", np.int64), _column(lower, "total")
-    last = shared & 255
-    single = np.bincount(last, n, 256) + 0.5
-    single /= single.sum()
-    _, part = np.unique(shared >> 8, return_inverse=True)
-    whole, types = np.bincount(part, n), np.bincount(part)
-    backoff = np.maximum(n - DISCOUNT, 0) / whole[part] + DISCOUNT * types[part] / whole[part] * single[last]
-    known, place = _found(shared, gram & ((1 << 8 * (order - 1)) - 1))
-    below = _take(backoff, known, place, single[gram & 255])
-
-    own, held = _found(at, gram >> 8)
+    suffix = F.col("gram").bitwiseAND((1 << 8 * (order - 1)) - 1)
+    lower = counts.groupBy(suffix.alias("suffix")).agg(F.count(F.lit(1)).alias("n"))
+    last = F.col("suffix").bitwiseAND(255)
+    single = np.full(256, 0.5)
+    for row in lower.groupBy(last.alias("last")).agg(F.sum("n").alias("n")).collect():  # 256 rows at most
+        single[row["last"]] += row["n"]
+    single = F.get(F.lit((single / single.sum()).tolist()), last.cast("int"))
+    middle = Window.partitionBy(F.shiftright("suffix", 8))
+    whole, types = F.sum("n").over(middle), F.count(F.lit(1)).over(middle)
+    below = (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * types * single) / whole
+    lower = lower.select("suffix", below.alias("below"))
+
+    known = counts.withColumn("suffix", suffix).join(lower, "suffix")
+    known = known.withColumn("context", F.shiftright("gram", 8)).repartitionByRange("context")
+    own = Window.partitionBy("context")
 
     def likelihood(name):
-        sums, kinds = _column(contexts, name), _column(contexts, f"{name}_types")
-        back = np.where(sums > 0, DISCOUNT * kinds / np.maximum(sums, 1), 1.0)
-        direct = np.maximum(_column(top, name) - DISCOUNT, 0) / np.maximum(_take(sums, own, held, 1.0), 1)
-        return np.where(own, direct + _take(back, own, held, 1.0) * below, below), back
+        sums, kinds = F.sum(name).over(own), F.sum((F.col(name) > 0).cast("long")).over(own)
+        back = F.when(sums > 0, DISCOUNT * kinds / sums).otherwise(1.0)
+        direct = F.greatest(F.col(name) - DISCOUNT, F.lit(0.0)) / F.greatest(sums, F.lit(1))
+        return (direct + back * F.col("below")).alias(name), back.alias(f"{name}_back")
+
+    fitted = known.select("gram", "context", *likelihood("toxic"), *likelihood("ordinary"))
+    ratio, back = F.log(F.col("toxic") / F.col("ordinary")), F.log(F.col("toxic_back") / F.col("ordinary_back"))
+    return fitted.select("gram", "context", ratio.alias("ratio"), back.alias("back"))
+
+
+def _bounds(table: DataFrame, order: int, rows: int) -> list[int]:
+    """First contexts of the shares: ranges of at most ``rows`` n-grams, or of one context."""
+
+    def sizes(part, bits):
+        found = part.groupBy(F.shiftright("context", bits).alias("at")).count().collect()  # 65,536 rows at most
+        return [(r["at"] << bits, r["count"]) for r in found]
+
+    bits = max(0, 8 * (order - 1) - 16)
+    starts = []
+    for at, n in sizes(table, bits):
+        if n > rows and bits:
+            starts += sizes(table.where(F.col("context").between(at, at + (1 << bits) - 1)), max(0, bits - 16))
+        else:
+            starts.append((at, n))
+    out, held = [0], 0
+    for at, n in sorted(starts):
+        if held and held + n > rows:
+            out.append(at)
+            held = 0
+        held += n
+    return out
+
 
-    toxic, toxic_back = likelihood("toxic")
-    ordinary, ordinary_back = likelihood("ordinary")
-    return {
-        "gram": gram,
-        "ratio": np.log(toxic / ordinary),
-        "context": at,
-        "back": np.log(toxic_back / ordinary_back),
-    }
+def model_shares(counts: DataFrame, order: int = ORDER, rows: int = SHARE_ROWS) -> Iterator[dict[str, np.ndarray]]:
+    """The whole model, cut by context into shares of at most ``rows`` n-grams.
+
+    A share has log-likelihood ratios of its n-grams, and of backing off from
+    each of its contexts, as sorted arrays. The driver holds one share at a time.
+    """
+    spark = counts.sparkSession
+    table, path = written(weights(counts, order), "model")
+    bounds = _bounds(table, order, rows)
+    for low, high in zip(bounds, [*bounds[1:], 1 << 8 * (order - 1)], strict=True):
+        part = table.where((F.col("context") >= low) & (F.col("context") < high)).toPandas().sort_values("gram")
+        gram, context = part["gram"].to_numpy(np.int64), part["context"].to_numpy(np.int64)
+        first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if len(context) else context
+        yield {
+            "low": low,
+            "high": high,
+            "gram": gram,
+            "ratio": part["ratio"].to_numpy(np.float64),
+            "context": context[first],
+            "back": part["back"].to_numpy(np.float64)[first],
+        }
+    discard(spark, path)
+
+
+def fit_models(counts: DataFrame, order: int = ORDER, rows: int = SHARE_ROWS) -> dict[str, np.ndarray]:
+    """The first share of the model; the whole one if it has at most ``rows`` n-grams."""
+    shares = model_shares(counts, order, rows)
+    first = next(shares)
+    for _ in shares:  # the table is deleted after the last one
+        pass
+    return first
 
 
 def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,21 +209,28 @@ def _take(values: np.ndarray, known: np.ndarray, at: np.ndarray, otherwise) -> n
     return out
 
 
-def ratios(model: dict[str, np.ndarray], text: bytes, order: int = ORDER) -> np.ndarray:
-    """Per byte of the text, by how much the toxic log-likelihood is larger."""
-    keys = grams(text, order).astype(np.int64)
-    if not len(model["gram"]):
-        return np.zeros(len(keys))
-    known, at = _found(model["gram"], keys)
-    out = _take(model["ratio"], known, at, 0.0)
-    new = np.flatnonzero(~known)
-    out[new] = _take(model["back"], *_found(model["context"], keys[new] >> 8), 0.0)
-    return out
+def _share(shared):
+    """A share sent to the tasks, read anew, so that a worker does not keep all of them."""
+    path = getattr(shared, "_path", None)
+    return shared.value if path is None else shared.load_from_path(path)
+
 
+def ratios(shares: list, texts: list[bytes], order: int = ORDER) -> list[np.ndarray]:
+    """Per byte of each normal text, by how much the toxic log-likelihood is larger."""
+    found = [grams(t, order).astype(np.int64) for t in texts]
+    keys, at = np.unique(np.concatenate(found), return_inverse=True)
+    out = np.zeros(len(keys))
+    for shared in shares:
+        model = shared.value if len(shares) == 1 else _share(shared)
+        a, b = np.searchsorted(keys, [model["low"] << 8, model["high"] << 8])
+        own = keys[a:b]
+        back = _take(model["back"], *_found(model["context"], own >> 8), 0.0)
+        out[a:b] = _take(model["ratio"], *_found(model["gram"], own), back)
+    return np.split(out[at], np.cumsum([len(f) for f in found])[:-1])
 
-def features(model: dict[str, np.ndarray], text: bytes, order: int = ORDER) -> tuple[float, float]:
+
+def features(steps: np.ndarray) -> tuple[float, float]:
     """The length-normalised difference over the whole text, and over its most toxic window."""
-    steps = ratios(model, normal(text), order)
     if not len(steps):
         return 0.0, 0.0
     sums = np.concatenate(([0.0], np.cumsum(steps)))
@@ -223,23 +254,33 @@ def fit_curve(values: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndar
     return w
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, order: int = ORDER, curve_rows: int = CURVE_ROWS) -> DataFrame:
+def score_toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    order: int = ORDER,
+    curve_rows: int = CURVE_ROWS,
+    share_rows: int = SHARE_ROWS,
+) -> DataFrame:
     """doc_id, held_out, score, predicted, ratio and window_ratio of every row of ``docs``.
 
     Counts come from all labelled texts of folds other than ``HELD_OUT`` and
     ``CURVE``. Null and empty texts score like a text without evidence. Every
     row gives a row, repeated ones too; a null doc_id is not held out. Without
-    labels every score is 0.5. Other columns are ignored.
+    labels every score is 0.5. Other columns are ignored. The model has every
+    n-gram that was counted; tasks look texts up in one share of it after another.
     """
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     known = unique_labels(labels, "toxic").withColumn("fold", fold("doc_id", FOLDS)).where(F.col("fold") != HELD_OUT)
     learned = known.where(F.col("fold") != CURVE)
-    model = fit_models(count_grams(with_labels(texts, learned, learned.count()), order), order)
-    shared = texts.sparkSession.sparkContext.broadcast(model)
+    counts = count_grams(with_labels(texts, learned, learned.count()), order)
+    send = texts.sparkSession.sparkContext.broadcast
+    shares = [send(share) for share in model_shares(counts, order, share_rows)]
+    limit = SLICE_BYTES * (1 if len(shares) == 1 else SHARE_SLICES)
 
     def measure(batches):
-        for batch in slices(batches):
-            values = np.array([features(shared.value, t, order) for t in byte_texts(batch)])
+        for batch in slices(batches, limit=limit):
+            values = ratios(shares, [normal(t) for t in byte_texts(batch)], order)
+            values = np.array([features(steps) for steps in values])
             rest = [batch.column(c) for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*rest, pa.array(values[:, 0]), pa.array(values[:, 1])],

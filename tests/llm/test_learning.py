@@ -72,6 +72,20 @@ def test_kneser_ney_probabilities_sum_to_one(spark):
     assert len(small["gram"]) <= 10
 
 
+def test_model_in_shares_is_the_whole_model(spark, make_docs):
+    rng = random.Random(8)
+    rows = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(30))) for i in range(120)]
+    counts = toxicity.count_grams(spark.createDataFrame([(t, i % 2) for i, t in rows], "text string, y int"))
+    whole, shares = toxicity.fit_models(counts), list(toxicity.model_shares(counts, rows=100))
+    assert len(whole["gram"]) == counts.count() and len(shares) > 10
+    assert all(len(share["gram"]) <= 100 for share in shares)
+    for name in ("gram", "ratio", "context", "back"):
+        assert np.concatenate([share[name] for share in shares]).tolist() == whole[name].tolist()
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, toxic int")
+    found = [sorted(map(tuple, toxicity.score_toxicity(make_docs(rows), labels, **more).collect())) for more in ({}, {"share_rows": 100})]
+    assert found[0] == found[1]
+
+
 def test_one_pass_learns_what_separates():
     state = quality._State()
     texts = [b"Fine words in a row.", b"BAD!! WORDS!!"] * 30
