@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm.labelled import fold, sample_rows, unique_labels, with_labels
 from tallyspan.llm.texts import SLICE_BYTES, byte_texts, plain_words, slices
-from tallyspan.session import checkpointed, discard, written
+from tallyspan.session import broadcast_if_small, checkpointed, discard, written
 
 ORDER = 5
 WINDOW = 12
@@ -263,15 +263,16 @@ def score_toxicity(
 ) -> DataFrame:
     """doc_id, held_out, score, predicted, ratio and window_ratio of every row of ``docs``.
 
-    Counts come from all labelled texts of folds other than ``HELD_OUT`` and
-    ``CURVE``. Null and empty texts score like a text without evidence. Every
+    Counts come from all labelled texts of folds other than ``HELD_OUT``, except
+    the at most ``curve_rows`` of fold ``CURVE`` that the curve is fitted on. Null and empty texts score like a text without evidence. Every
     row gives a row, repeated ones too; a null doc_id is not held out. Without
     labels every score is 0.5. Other columns are ignored. The model has every
     n-gram that was counted; tasks look texts up in one share of it after another.
     """
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     known = unique_labels(labels, "toxic").withColumn("fold", fold("doc_id", FOLDS)).where(F.col("fold") != HELD_OUT)
-    learned = known.where(F.col("fold") != CURVE)
+    curve = checkpointed(sample_rows(known.where(F.col("fold") == CURVE).select("doc_id", "y"), curve_rows))
+    learned = known.join(broadcast_if_small(curve.select("doc_id"), curve_rows), "doc_id", "left_anti")
     counts = count_grams(with_labels(texts, learned, learned.count()), order)
     send = texts.sparkSession.sparkContext.broadcast
     shares = [send(share) for share in model_shares(counts, order, share_rows)]
@@ -287,7 +288,6 @@ def score_toxicity(
                 names=[*(c for c in batch.schema.names if c != "text"), "ratio", "window_ratio"],
             )
 
-    curve = sample_rows(known.where(F.col("fold") == CURVE).select("doc_id", "y"), curve_rows)
     measured = with_labels(texts, curve, curve_rows).select("text", "y")
     points = measured.mapInArrow(measure, "y INT, ratio DOUBLE, window_ratio DOUBLE").toPandas()  # bounded by curve_rows
     weights = fit_curve(points[["ratio", "window_ratio"]].to_numpy(float), points["y"].to_numpy(float)).tolist()

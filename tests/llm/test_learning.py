@@ -86,6 +86,15 @@ def test_model_in_shares_is_the_whole_model(spark, make_docs):
     assert found[0] == found[1]
 
 
+def test_rows_of_the_curve_fold_that_the_curve_does_not_need_are_counted(spark, make_docs):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % toxicity.FOLDS == toxicity.CURVE]
+    rows = [(i, "awful words here" if k % 2 else "pleasant lines there") for k, i in enumerate(ids)]
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id bigint, toxic int")
+    few, all_ = (toxicity.score_toxicity(make_docs(rows), labels, curve_rows=n).collect() for n in (4, len(ids)))
+    assert all(r["ratio"] != 0 for r in few)
+    assert all(r["ratio"] == 0 for r in all_)
+
+
 def test_one_pass_learns_what_separates():
     state = quality._State()
     texts = [b"Fine words in a row.", b"BAD!! WORDS!!"] * 30
