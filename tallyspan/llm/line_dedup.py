@@ -1,16 +1,21 @@
 """Deletion of repeated line runs, by prefix doubling over sequences of line ids.
 
+A run of lines, of any length, with at least ``MIN_WORDS`` words is deleted
+where an equal run begins earlier, in the order of doc_id and line; adjacent and
+overlapping ones make up the maximal repeated runs.
+
+Not all runs need a look. Take a line of a run that is to be deleted, and leave
+off lines at the run's ends as long as it keeps the line and enough words. What
+remains is the shortest run with enough words from its first line on, or the
+shortest one up to its last line; it is repeated at the same place of the
+earlier copy. So those two runs of each line, looked up over the whole
+collection, cover all that longest common prefixes would give, to their ends.
+
 Suffixes of the documents' line sequences are ranked by their first 1, 2, 4, 8,
-... lines. A rank is a 128-bit hash of the two ranks of half the length, so
-equal ranks are equal runs, and the suffixes of one rank are an interval of the
-suffix array whose longest common prefix has at least that many lines. Ranks
-are doubled where the lines are, for all documents in parallel; only runs that
-can matter are then brought together by rank, over the whole collection.
-
-A run of 1, 2, 4, ... lines with at least ``MIN_WORDS`` words is deleted where
-an equal run begins earlier, in the order of doc_id and line; adjacent and
-overlapping ones make up the maximal repeated runs. A run both of whose halves
-have that many words needs no look of its own: its halves are deleted already.
+... lines. A rank is a 128-bit hash of the two ranks of half the length, and a
+run of any length goes by the ranks of two overlapping runs of the largest power
+of two in it. Ranks are doubled where the lines are, for all documents in
+parallel; only the runs to look up are brought together by rank.
 """
 
 from __future__ import annotations
@@ -29,26 +34,42 @@ MIN_WORDS = 10
 _P = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+def _shortest(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First lines and lengths of the runs with enough words that are shortest from their first or to their last line."""
+    upto, n = np.concatenate(([0], np.cumsum(words))), len(words)
+    # the first end with enough words after each line, and the last start with enough words before each end
+    ends = np.maximum(np.searchsorted(upto, upto[:-1] + min_words), np.arange(1, n + 1))
+    starts = np.minimum(np.searchsorted(upto, upto[1:] - min_words, "right") - 1, np.arange(n))
+    left, right = np.flatnonzero(ends <= n), np.flatnonzero(starts >= 0)
+    first = np.concatenate((left, starts[right]))
+    return np.unique(np.column_stack((first, np.concatenate((ends[left], right + 1)) - first)), axis=0).T
+
+
 def _runs(text: bytes, min_words: int):
     """(line, lines, rank, rank) arrays of the runs of one text that must be looked up."""
     lines = text.split(b"\n")
+    words = np.fromiter((len(line.split()) for line in lines), np.int64, len(lines))
+    first, length = _shortest(words, min_words)
+    if not len(first):
+        return
     digests = b"".join(hashlib.blake2b(line, digest_size=16).digest() for line in lines)
     ranks = np.frombuffer(digests, "<u8").reshape(-1, 2).copy()
-    words = np.fromiter((len(line.split()) for line in lines), np.int64, len(lines))
-    size, halves = 1, None
+    size, longest = 1, length.max()
     while True:
-        enough = words >= min_words
-        look = enough if halves is None else enough & ~halves
-        at = np.flatnonzero(look)
-        yield at, np.full(len(at), size), ranks[at]
-        if len(words) <= size or enough.all():
+        now = (length >= size) & (length < 2 * size)
+        at, n = first[now], length[now]
+        yield at, n, _joined(ranks[at], ranks[at + n - size])
+        if longest < 2 * size:
             return
-        halves = enough[:-size] & enough[size:]
-        ranks = np.column_stack([mix(ranks[:-size, k] * _P[k] + ranks[size:, k]) for k in (0, 1)])
-        words = words[:-size] + words[size:]
+        ranks = _joined(ranks[:-size], ranks[size:])
         size *= 2
 
 
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The ranks of two runs as one."""
+    return np.column_stack([mix(a[:, k] * _P[k] + b[:, k]) for k in (0, 1)])
+
+
 def _version() -> Column:
     """Tells texts of one doc_id apart."""
     return F.xxhash64(F.col("text"))

@@ -96,6 +96,35 @@ def test_lines_against_brute_force(make_docs):
         assert sorted(map(tuple, found), key=repr) == brute_lines(rows, least)
 
 
+def every_run(rows, least):
+    """(doc_id, lines left, n_removed, n_runs) by looking at runs of all lengths."""
+    firsts, gone = {}, {}
+    for doc, text in sorted(rows):
+        lines = text.split("\n")
+        gone[doc] = set()
+        for i in range(len(lines)):
+            for size in range(1, len(lines) - i + 1):
+                run = tuple(lines[i : i + size])
+                if sum(len(x.split()) for x in run) >= least and firsts.setdefault(run, (doc, i)) != (doc, i):
+                    gone[doc].update(range(i, i + size))
+    kept = {doc: "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone[doc]) for doc, text in rows}
+    return [(doc, kept[doc], len(out), sum(i - 1 not in out for i in out)) for doc, out in sorted(gone.items())]
+
+
+def test_runs_of_all_lengths(make_docs):
+    rng = random.Random(7)
+    lines = ["", "a", "b c", "d e f g", "h i j k l m", " a", "n " * 12]
+    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(0, 14)))) for i in range(60)]
+    runs = (["a b c d", "e f g h", "i j k l"], [f"p{k} q" for k in range(7)], ["x", "y", "z " * 30], ["u " * 30, "v", ""])
+    for k, run in enumerate(runs):
+        rows += [(100 + 2 * k + j, "\n".join([f"before {k} {j}", *run, f"after {k} {j}"])) for j in (0, 1)]
+    rows += [(200, "\n".join(["r s"] * 40))]
+    for least in (1, 3, 10):
+        found = line_dedup.remove_repeated_lines(make_docs(rows), least)
+        found = found.select("doc_id", "text", "n_removed", "n_runs").collect()
+        assert sorted(map(tuple, found)) == every_run(rows, least)
+
+
 def test_lines_of_odd_rows(make_docs, odd_rows):
     found = line_dedup.remove_repeated_lines(make_docs(odd_rows))
     assert found.count() == len(odd_rows)
