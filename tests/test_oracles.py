@@ -1,4 +1,4 @@
-"""Every registered query against its SQL in DuckDB, on the smallest tables."""
+"""Every query of the core against its SQL in DuckDB, on the smallest tables."""
 
 import os
 
@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tallyspan import oracles
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = [name.removesuffix(".parquet") for name in os.listdir(FOLDER)] if os.path.isdir(FOLDER) else []
@@ -21,6 +22,7 @@ def duck():
     return connection
 
 
+SQL = oracles.oracle_sql(entry.PARTS, entry.K, entry.K_EVEN, entry.K_ODD, entry.CHUNK)
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
 
 
@@ -29,10 +31,10 @@ def ordered(columns, rows):
     return sorted(columns), sorted(repr([row[i] for i in at]) for row in rows)
 
 
-@pytest.mark.parametrize("name", list(entry.oracle_sql()))
+@pytest.mark.parametrize("name", list(SQL))
 def test_query(spark, duck, name):
     found = entry.queries()[name](spark, FOLDER)
-    expected = duck.execute(entry.oracle_sql()[name])
+    expected = duck.execute(SQL[name])
     names = [column[0] for column in expected.description]
     types = {column[0]: str(column[1]) for column in expected.description}
     assert {name: TYPES[kind] for name, kind in found.dtypes} == types
