@@ -136,6 +136,31 @@ FROM reach JOIN docs ON doc_id = a LEFT JOIN sizes USING (doc_id) GROUP BY doc_i
 """
 
 
+OP11 = """
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+),
+numbers AS (
+    SELECT *, len(u) AS n, [CAST('0x' || h[8 * i - 7 : 8 * i] AS BIGINT) for i in range(1, 5)] AS k FROM units
+),
+cuts AS (SELECT *, least(k[1] % (n + 1), k[2] % (n + 1)) AS a, greatest(k[1] % (n + 1), k[2] % (n + 1)) AS b FROM numbers),
+parts AS (
+    SELECT *, array_to_string(u[1 : a], '') AS p, array_to_string(u[a + 1 : b], '') AS m, array_to_string(u[b + 1 :], '') AS s,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR k[3] % 100 >= 90 THEN 'plain'
+            WHEN k[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, form,
+    CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"op4_chat_formatting": OP4, "op5_line_dedup": OP5, "op8_benchmark_decontamination": OP8, "op9_embedding_near_dedup": OP9, "op10_minhash_near_dedup": OP10}
+    return {"op4_chat_formatting": OP4, "op5_line_dedup": OP5, "op8_benchmark_decontamination": OP8, "op9_embedding_near_dedup": OP9, "op10_minhash_near_dedup": OP10, "op11_fill_in_middle": OP11}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import chat, decontaminate, embedding_dedup, license_scan, line_dedup, minhash_dedup, packing, quality, suffix_dedup, toxicity
+from tallyspan.llm import chat, decontaminate, embedding_dedup, fill_in_middle, license_scan, line_dedup, minhash_dedup, packing, quality, suffix_dedup, toxicity
 
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING",
@@ -82,6 +82,10 @@ def op10_minhash_near_dedup(spark, folder):
     return minhash_dedup.near_duplicates(table(spark, folder, "documents")).drop("component", "row")
 
 
+def op11_fill_in_middle(spark, folder):
+    return fill_in_middle.fim_digests(fill_in_middle.fim_pieces(table(spark, folder, "documents")))
+
+
 def queries() -> dict:
     """All queries by name."""
     every = (
@@ -95,5 +99,6 @@ def queries() -> dict:
         op8_benchmark_decontamination,
         op9_embedding_near_dedup,
         op10_minhash_near_dedup,
+        op11_fill_in_middle,
     )
     return {query.__name__: query for query in every}
