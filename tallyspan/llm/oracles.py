@@ -161,6 +161,74 @@ FROM parts
 """
 
 
+OP13 = """
+WITH RECURSIVE bits AS (
+    SELECT i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) t(i)
+    UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+numbers AS (
+    SELECT row_number() OVER () AS r, documents.*, list_reduce(
+        list_prepend(4294967295, [CAST(ascii(x) AS BIGINT) for x in string_split(CAST(doc_id AS VARCHAR), '')]),
+        lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])) AS c
+    FROM documents, crc
+),
+heads AS (
+    SELECT r, doc_id, text, coalesce('=' || source, '') AS tree, xor(c, 4294967295) % 5 = 0 AS hit,
+        array_to_string([CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END
+            for v in [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)]], '') AS h
+    FROM numbers
+),
+hashed AS (
+    SELECT r, doc_id, tree, sha256(h || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        CASE WHEN hit THEN sha256(h || coalesce(strlen(text) || ':'
+            || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS changed
+    FROM heads
+),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+        count(*) OVER (PARTITION BY tree) AS n FROM hashed
+),
+lower_levels AS (
+    SELECT tree, 0 AS level, idx, n, leaf AS digest FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM lower_levels WHERE n > 1 GROUP BY tree, level, n, idx // 16
+),
+subroots AS (SELECT tree, level, digest, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM lower_levels WHERE n = 1),
+upper_levels AS (
+    SELECT '^' AS tree, 0 AS level, idx, n, digest FROM subroots
+    UNION ALL
+    SELECT tree, level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM upper_levels WHERE n > 1 GROUP BY tree, level, n, idx // 16
+),
+top AS (SELECT digest AS root FROM upper_levels WHERE n = 1),
+nodes AS (
+    SELECT tree, level, idx, tree AS own_tree, level AS own_level, idx AS own_idx, n, digest FROM lower_levels
+    UNION ALL
+    SELECT u.tree, u.level, u.idx, coalesce(s.tree, u.tree), coalesce(s.level, u.level),
+        CASE WHEN s.tree IS NULL THEN u.idx ELSE 0 END, u.n, u.digest
+    FROM upper_levels u LEFT JOIN subroots s ON u.level = 0 AND u.idx = s.idx
+),
+links AS (
+    SELECT own_tree, own_level, own_idx, tree, level + 1 AS level, idx // 16 AS idx,
+        coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+        coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+    FROM nodes WHERE n > 1 WINDOW w AS (PARTITION BY tree, level, idx // 16 ORDER BY idx)
+),
+climb AS (
+    SELECT r, tree, CAST(0 AS BIGINT) AS level, idx, coalesce(changed, leaf) AS folded, '' AS siblings FROM leaves
+    UNION ALL
+    SELECT r, l.tree, l.level, l.idx, sha256(before || folded || after), siblings || before || after
+    FROM climb JOIN links l ON own_tree = climb.tree AND own_level = climb.level AND own_idx = climb.idx
+),
+ways AS (SELECT r, arg_max(folded, length(siblings) + level + 100000 * (tree = '^')::INT) AS folded,
+    arg_max(siblings, length(siblings) + level + 100000 * (tree = '^')::INT) AS siblings FROM climb GROUP BY r)
+SELECT doc_id, leaf, digest AS subroot, root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM leaves JOIN ways USING (r) JOIN subroots USING (tree), top
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"op4_chat_formatting": OP4, "op5_line_dedup": OP5, "op8_benchmark_decontamination": OP8, "op9_embedding_near_dedup": OP9, "op10_minhash_near_dedup": OP10, "op11_fill_in_middle": OP11}
+    return {"op4_chat_formatting": OP4, "op5_line_dedup": OP5, "op8_benchmark_decontamination": OP8, "op9_embedding_near_dedup": OP9, "op10_minhash_near_dedup": OP10, "op11_fill_in_middle": OP11, "op13_merkle_manifest": OP13}
