@@ -31,8 +31,8 @@ _CLIMB = """
 WITH RECURSIVE climb (unit_tree, unit, tree, level, idx, folded, siblings, subroot) AS (
     SELECT unit_tree, unit, tree, level, idx, folded, siblings, subroot FROM {start}
     UNION ALL
-    SELECT unit_tree, unit, n.parent_tree, n.parent_level, n.parent_idx,
-        transform(folded, f -> sha2(concat(n.before, f, n.after), 256)),
+    SELECT /*+ SHUFFLE_MERGE(n) */ unit_tree, unit, n.parent_tree, n.parent_level, n.parent_idx,
+        transform(folded, f -> unhex(sha2(lower(hex(concat(n.before, f, n.after))), 256))),
         concat(siblings, n.before, n.after),
         CASE WHEN n.tree <> n.parent_tree THEN n.digest ELSE subroot END
     FROM climb JOIN {nodes} n ON climb.tree = n.tree AND climb.level = n.level AND climb.idx = n.idx
@@ -137,7 +137,7 @@ def _built(spark: SparkSession, nodes: DataFrame, most: int, folder: str, kept=_
 
 
 def _links(runs: DataFrame) -> DataFrame:
-    """One row per node: its key, its digest, its siblings' digests before and after it, and its parent's key."""
+    """One row per node: its key, its digest, its siblings' digests (as bytes) before and after it, its parent's key."""
     digests = F.transform("members", lambda m: m["digest"])
     one = runs.select("*", F.array_join(digests, "").alias("kids"), F.posexplode("members").alias("place", "m"))
     return one.select(
@@ -145,8 +145,8 @@ def _links(runs: DataFrame) -> DataFrame:
         F.col("m.own_level").alias("level"),
         F.col("m.own_idx").alias("idx"),
         F.col("m.digest").alias("digest"),
-        F.expr(f"substring(kids, 1, place * {_DIGEST_CHARS})").alias("before"),
-        F.expr(f"substring(kids, (place + 1) * {_DIGEST_CHARS} + 1)").alias("after"),
+        F.unhex(F.expr(f"substring(kids, 1, place * {_DIGEST_CHARS})")).alias("before"),
+        F.unhex(F.expr(f"substring(kids, (place + 1) * {_DIGEST_CHARS} + 1)")).alias("after"),
         F.col("tree").alias("parent_tree"),
         (F.col("level") + 1).alias("parent_level"),
         F.col("run").alias("parent_idx"),
@@ -177,9 +177,10 @@ def verified_manifest(docs: DataFrame) -> DataFrame:
     first) and, if ids are equal, by leaf; repeated rows are leaves of their own.
     ``proof_sha256`` is H of all siblings on the way up. An empty table gives
     none. Each level is written as rows that name their parents. A recursive
-    query takes every leaf from its run to the root, one level a step; the
+    query takes every leaf from its run to the root, one level a step. The
     leaves of a run travel as one row, since they share all siblings from there
-    on. Nothing but the root and the largest tree's size reaches the driver.
+    on, and as one hash if they have the same at that point. Nothing but the
+    root and the largest tree's size reaches the driver.
     """
     spark = docs.sparkSession
     hashed, path = written(leaves(docs), "leaves")
@@ -219,26 +220,27 @@ def verified_manifest(docs: DataFrame) -> DataFrame:
         whole = levels[0].select("tree", F.lit(1).alias("level"), F.col("run").alias("idx"), "members")
         units = whole.unionByName(single)
     kids = F.array_join(F.transform("members", lambda m: m["digest"]), "")
-    units = units.withColumn("kids", kids)
     fold = f"""transform(members, (m, i) -> CASE WHEN level = 0 THEN coalesce(m.changed, m.digest) ELSE
         sha2(concat(substring(kids, 1, i * {_DIGEST_CHARS}), coalesce(m.changed, m.digest),
             substring(kids, (i + 1) * {_DIGEST_CHARS} + 1)), 256) END)"""
+    units = checkpointed(units.withColumn("kids", kids).withColumn("first", F.expr(fold)))
     start = units.select(
         F.col("tree").alias("unit_tree"), F.col("idx").alias("unit"), "tree", "level", "idx",
-        F.expr(fold).alias("folded"), F.lit("").alias("siblings"), F.lit(None).cast("string").alias("subroot"),
+        F.transform(F.array_distinct("first"), F.unhex).alias("folded"), F.lit(b"").alias("siblings"), F.lit(None).cast("string").alias("subroot"),
     )
     if linked is None:
         climbed = start.select("unit_tree", "unit", "folded", "siblings", F.lit(root).alias("subroot"))
     else:
         climbed = _climb(spark, start, linked, root, end, height)
-    named = units.select(F.col("tree").alias("unit_tree"), F.col("idx").alias("unit"), "members", "kids")
+    named = units.select(F.col("tree").alias("unit_tree"), F.col("idx").alias("unit"), "members", "kids", "first")
     rows = climbed.join(named, ["unit_tree", "unit"]).select("*", F.posexplode("members").alias("place", "m"))
     siblings = F.concat(
         F.expr(f"substring(kids, 1, place * {_DIGEST_CHARS})"),
         F.expr(f"substring(kids, (place + 1) * {_DIGEST_CHARS} + 1)"),
-        F.col("siblings"),
+        F.lower(F.hex("siblings")),
     )
-    folded = F.element_at("folded", F.col("place") + 1)
+    slot = F.expr("array_position(array_distinct(first), first[place])")
+    folded = F.lower(F.hex(F.element_at("folded", slot.cast("int"))))
     return rows.select(
         F.col("m.doc_id").alias("doc_id"),
         F.col("m.digest").alias("leaf"),
