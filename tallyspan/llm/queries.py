@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import chat, decontaminate, embedding_dedup, fill_in_middle, license_scan, line_dedup, merkle, minhash_dedup, packing, quality, suffix_dedup, toxicity
+from tallyspan.llm import chat, decontaminate, embedding_dedup, fill_in_middle, license_scan, line_dedup, merkle, minhash_dedup, packing, quality, suffix_dedup, suffix_tree, toxicity
 
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING",
@@ -86,6 +86,10 @@ def op11_fill_in_middle(spark, folder):
     return fill_in_middle.fim_digests(fill_in_middle.fim_pieces(table(spark, folder, "documents")))
 
 
+def op12_suffix_tree_scores(spark, folder):
+    return suffix_tree.score_texts(table(spark, folder, "documents"))
+
+
 def op13_merkle_manifest(spark, folder):
     return merkle.verified_manifest(spark.read.parquet(f"{folder}/documents.parquet"))
 
@@ -104,6 +108,7 @@ def queries() -> dict:
         op9_embedding_near_dedup,
         op10_minhash_near_dedup,
         op11_fill_in_middle,
+        op12_suffix_tree_scores,
         op13_merkle_manifest,
     )
     return {query.__name__: query for query in every}
