@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -31,20 +32,21 @@ GAIN = 0.05
 ADDED = 0.1
 
 # Text bytes of a block of documents, the unit that is counted and looked up at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 # Tokens of the corpus for each bucket of words or contexts.
-BUCKET_TOKENS = 1 << 21
+BUCKET_TOKENS = 1 << 20
 # A context with more occurrences is dealt out over several buckets by its next words.
 SPLIT = 1 << 22
-# Blocks read by a task.
+# Blocks read by a task, and bytes of a row of a block: rows of megabytes would fill an executor's heap.
 TOGETHER = 4
+PART_BYTES = 1 << 18
+# Bytes of rows that go to a task's Python side at once.
+BATCH_BYTES = 8 << 20
 
-BLOCKS = (
-    "block bigint, row array<bigint>, doc_id array<bigint>, held_out array<boolean>, skip array<int>, "
-    "length array<bigint>, tokens binary, words binary, counts binary, n_tokens bigint"
-)
+# Parts of blocks have level -1; answers the level and the bucket they come from, their sums block -1.
+ROWS = "block bigint, level int, part int, payload binary, total bigint, kinds bigint, most bigint"
 MESSAGES = "bucket int, block bigint, payload binary"
-ANSWERS = f"{MESSAGES}, total bigint, kinds bigint, most bigint"
+FIELDS = ("row", "doc_id", "no_id", "held_out", "skip", "length", "tokens", "counts", "words")
 SCORES = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
     "base_score double, score double"
@@ -86,10 +88,11 @@ def _long_text(text: bytes, size: int, depth: int) -> Iterator[tuple[list[bytes]
         start = end
 
 
-def _block(number: int, entries: list[tuple]) -> dict:
-    """A block of (row, doc_id, held_out, words before, text, is last): local words, and tokens as their numbers.
+def _block(number: int, entries: list[tuple]) -> Iterator[dict]:
+    """The rows of a block of (row, doc_id, held_out, words before, text, is last).
 
-    Word 0 is the end of a text. Words before a part are tokens to look back on only.
+    Tokens are numbers of the block's own words, of which 0 is the end of a
+    text. Words before a part are tokens to look back on only.
     """
     texts = [b" ".join([*before, text]) for *_, before, text, _ in entries]
     joined = np.frombuffer(b" ".join(texts).translate(SPACED) + b" ", np.uint8)
@@ -107,18 +110,37 @@ def _block(number: int, entries: list[tuple]) -> dict:
     skip = np.array([len(e[3]) for e in entries])
     trained = np.repeat(np.array([not e[2] for e in entries], bool), length) & ~_looked_back(length, skip)
     words = [b"", *coded.dictionary.to_pylist()]
-    return {
-        "block": number,
+    ids = np.array([e[1] or 0 for e in entries], np.int64).view(np.uint64)
+    fields = {
         "row": [e[0] for e in entries],
-        "doc_id": [e[1] for e in entries],
+        "doc_id": ids,
+        "no_id": [e[1] is None for e in entries],
         "held_out": [e[2] for e in entries],
-        "skip": skip.tolist(),
-        "length": length.tolist(),
-        "tokens": _packed(tokens),
-        "words": b"\n".join(words),
-        "counts": _packed(np.bincount(tokens[trained], minlength=len(words))),
-        "n_tokens": int((length - skip).sum()),
+        "skip": skip,
+        "length": length,
+        "tokens": tokens,
+        "counts": np.bincount(tokens[trained], minlength=len(words)),
+        "words": np.frombuffer(b"\n".join(words), np.uint8),
     }
+    blob = _packed(*(fields[name] for name in FIELDS))
+    for part, at in enumerate(range(0, len(blob), PART_BYTES)):
+        n = int((length - skip).sum()) if part == 0 else 0
+        yield {"block": number, "level": -1, "part": part, "payload": blob[at : at + PART_BYTES], "total": n}
+
+
+def _read_block(batches) -> dict:
+    """A block's fields and ``answers`` by level and bucket, from its rows in any order."""
+    parts, answers = {}, {}
+    for batch in batches:
+        names = ("block", "level", "part", "payload")
+        for block, level, part, payload in zip(*(batch.column(name).to_pylist() for name in names), strict=True):
+            if level < 0:
+                parts[part] = payload
+            else:
+                answers.setdefault(level, {})[part] = payload
+    fields = dict(zip(FIELDS, _unpacked(b"".join(parts[i] for i in range(len(parts)))), strict=True))
+    fields["words"] = fields["words"].astype(np.uint8).tobytes().split(b"\n")
+    return fields | {"block": block, "answers": answers}
 
 
 def _looked_back(length: np.ndarray, skip: np.ndarray) -> np.ndarray:
@@ -130,11 +152,7 @@ def _looked_back(length: np.ndarray, skip: np.ndarray) -> np.ndarray:
 
 def _arrow(schema: str) -> pa.Schema:
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}
-    fields = []
-    for name, kind in (x.split() for x in schema.split(", ")):
-        inner = kind.removeprefix("array<").removesuffix(">")
-        fields.append((name, kinds[inner] if inner == kind else pa.list_(kinds[inner])))
-    return pa.schema(fields)
+    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in schema.split(", "))])
 
 
 def _batches(rows, schema: str) -> Iterator[pa.RecordBatch]:
@@ -143,7 +161,7 @@ def _batches(rows, schema: str) -> Iterator[pa.RecordBatch]:
     for row in rows:
         held.append(row)
         size += sum(len(v) for v in row.values() if isinstance(v, bytes)) + 100
-        if size > 1 << 24:
+        if size > BATCH_BYTES:
             yield pa.RecordBatch.from_pylist(held, schema=kinds)
             held, size = [], 0
     if held:
@@ -167,18 +185,18 @@ def _blocks(docs: DataFrame, block_bytes: int, depth: int) -> DataFrame:
                     row += 1
                     for before, part, last in _long_text(text, block_bytes, depth):
                         if entries and (before or not last):
-                            yield _block((task << 40) + block, entries)
+                            yield from _block((task << 40) + block, entries)
                             entries, block = [], block + 1
                         entries.append((number, doc_id, held, before, part, last))
                 if entries:
-                    yield _block((task << 40) + block, entries)
+                    yield from _block((task << 40) + block, entries)
                     block += 1
 
-        yield from _batches(blocks(), BLOCKS)
+        yield from _batches(blocks(), ROWS)
 
     held_out = F.coalesce(fold("doc_id", 10) == 0, F.lit(False)).alias("held_out")
     kept = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out)
-    return kept.mapInArrow(cut, BLOCKS)
+    return kept.mapInArrow(cut, ROWS)
 
 
 class _Settings:
@@ -191,10 +209,9 @@ class _Settings:
 def _requests(row: dict, given, level: int, only_split: bool = False) -> Iterator[dict]:
     """A block's messages of a level, one for each bucket that holds any of its words or pairs."""
     if level == 0:
-        words, counts = row["words"].split(b"\n"), _unpacked(row["counts"])[0]
+        words, counts = row["words"], row["counts"]
         where = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % given.buckets
-        order = np.argsort(where, kind="stable")
-        for bucket, chosen in _by_bucket(where, order):
+        for bucket, chosen in _by_bucket(where, np.argsort(where, kind="stable")):
             text = np.frombuffer(b"\n".join(words[i] for i in chosen), np.uint8)
             yield {"bucket": bucket, "block": row["block"], "payload": _packed(counts[chosen], text)}
         return
@@ -249,12 +266,10 @@ def _pairs(state: dict, given) -> dict:
 
 def _state(row: dict, given, level: int) -> dict:
     """A block's tokens, probabilities and next contexts to try, once the answers up to ``level`` are in."""
-    tokens = _unpacked(row["tokens"])[0]
-    length, skip = np.array(row["length"], np.int64), np.array(row["skip"], np.int64)
-    back = _looked_back(length, skip)
-    words = row["words"].split(b"\n")
+    tokens, length, words = row["tokens"], row["length"], row["words"]
+    back = _looked_back(length, row["skip"])
     where = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % given.buckets
-    answers = {a["bucket"]: a["payload"] for a in row["a0"]}
+    answers = row["answers"][0]
     ids, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     for bucket, chosen in _by_bucket(where, np.argsort(where, kind="stable")):
         ids[chosen], counts[chosen] = _unpacked(answers[bucket])
@@ -266,7 +281,7 @@ def _state(row: dict, given, level: int) -> dict:
     state = {
         "tokens": tokens,
         "ids": ids,
-        "trained": ~np.repeat(np.array(row["held_out"], bool), length) & ~back,
+        "trained": ~np.repeat(row["held_out"].astype(bool), length) & ~back,
         "back": back,
         "known": counts[tokens] > 0,
         "base": base[tokens],
@@ -278,7 +293,7 @@ def _state(row: dict, given, level: int) -> dict:
     }
     for k in range(1, level + 1):
         pairs = _pairs(state, given)
-        answers = {a["bucket"]: a["payload"] for a in row[f"a{k}"] or ()}
+        answers = row["answers"].get(k, {})
         kept, total, name = (np.zeros(len(pairs["n"]), np.int64) for _ in range(3))
         for bucket, chosen in _by_bucket(pairs["where"], pairs["order"]):
             bits, totals, names = _unpacked(answers[bucket])
@@ -315,25 +330,31 @@ def _answer_words(messages: list[tuple[int, bytes]], bucket: int, given) -> Iter
     for (block, _), words in zip(messages, lists, strict=True):
         own = coded[at : at + len(words)].astype(np.int64)
         at += len(words)
-        yield {"bucket": bucket, "block": block, "payload": _packed(own * given.buckets + bucket, totals[own])}
+        yield {"part": bucket, "level": 0, "block": block, "payload": _packed(own * given.buckets + bucket, totals[own])}
     sums = {"total": int(totals.sum()), "kinds": int((totals > 0).sum()), "most": int(totals.max())}
-    yield {"bucket": bucket, "block": -1, "payload": b"", **sums}
+    yield {"part": bucket, "level": 0, "block": -1, "payload": b"", **sums}
 
 
-def _answer_pairs(messages: list[tuple[int, bytes]], bucket: int, given, decided: dict | None) -> Iterator[dict]:
+def _answer_pairs(messages: list, bucket: int, level: int, given, decided: dict | None) -> Iterator[dict]:
     """Which of a bucket's contexts are states, and counts and names of their pairs, as asked by each block.
 
     ``decided`` holds the contexts that several buckets share; None asks for
     this bucket's part of what decides about each context instead.
     """
     asked = [_unpacked(payload) for _, payload in messages]
+    blocks = [(block, len(a[0]), len(a[3])) for (block, _), a in zip(messages, asked, strict=True)]
     run_context, run_size, run_n, symbol, count, bits = (np.concatenate(parts) for parts in zip(*asked, strict=True))
+    del asked, messages
     contexts, first, run_code = np.unique(run_context, return_index=True, return_inverse=True)
     n = run_n[first]
-    symbols, code = np.unique(symbol, return_inverse=True)
-    keys, first, back = np.unique(np.repeat(run_code, run_size) * len(symbols) + code, return_index=True, return_inverse=True)
+    width = int(symbol.max()) + 1
+    if len(contexts) * width >= 1 << 63:  # then by their numbers in this bucket
+        symbol = np.unique(symbol, return_inverse=True)[1]
+        width = int(symbol.max()) + 1
+    keys, first, back = np.unique(np.repeat(run_code, run_size) * width + symbol, return_index=True, return_inverse=True)
+    del symbol
     total = np.bincount(back, count, len(keys)).astype(np.int64)
-    owner = keys // len(symbols)
+    owner = keys // width
     seen = total > 0
     told, parent, of = total[seen], -bits[first[seen]] / 64, n[owner[seen]]
     without = (told - 1 + given.prior * np.exp2(parent)) / (of - 1 + given.prior)
@@ -349,13 +370,13 @@ def _answer_pairs(messages: list[tuple[int, bytes]], bucket: int, given, decided
     name = (np.cumsum(common) - 1) * given.buckets + bucket
     total = np.where(common | state[owner], total, 0)
     run, pair = 0, 0
-    for (block, _), (sizes, entries) in zip(messages, ((len(a[0]), len(a[3])) for a in asked), strict=True):
+    for block, sizes, entries in blocks:
         own, states = back[pair : pair + entries], state[run_code[run : run + sizes]]
         run, pair = run + sizes, pair + entries
         payload = _packed(np.packbits(states), total[own], name[own[common[own]]])
-        yield {"bucket": bucket, "block": block, "payload": payload}
+        yield {"part": bucket, "level": level, "block": block, "payload": payload}
     most = int(total[common].max()) if common.any() else 0
-    yield {"bucket": bucket, "block": -1, "payload": b"", "total": 0, "kinds": 0, "most": most}
+    yield {"part": bucket, "level": level, "block": -1, "payload": b"", "most": most}
 
 
 def _buckets(batches) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
@@ -372,24 +393,40 @@ def _buckets(batches) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
         yield now, held
 
 
-class _Tables:
-    """Tables of blocks and answers, bucketed by block so that they join where they lie."""
+@contextmanager
+def _bounded_batches(spark, size: int):
+    """Blocks are rows of megabytes; the session's own bound on Arrow batches is put back afterwards."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(size, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+class _Table:
+    """A table of rows bucketed by block, so that a block's rows are read together without a shuffle."""
 
     def __init__(self, spark, shares: int):
-        self.spark, self.shares, self.made = spark, shares, []
+        self.spark, self.shares = spark, shares
+        self.path = scratch_path(spark, "exchange")
+        self.name = "tallyspan_" + self.path.split("/")[-2].split("-")[-1]
+
+    def add(self, rows: DataFrame) -> None:
+        dealt = rows.repartition(self.shares, "block").write.bucketBy(self.shares, "block").mode("append")
+        dealt.option("compression", "zstd").option("path", self.path).saveAsTable(self.name)
 
-    def put(self, rows: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(self.spark, name)
-        table = "tallyspan_" + path.split("/")[-2].split("-")[-1]
-        dealt = rows.repartition(self.shares, "block").write.bucketBy(self.shares, "block")
-        self.made.append((table, path))
-        dealt.option("compression", "zstd").option("path", path).saveAsTable(table)
-        return self.spark.table(table)
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def by_block(self, task, schema: str) -> DataFrame:
+        """What ``task`` makes of the record batches of each block."""
+        return self.rows().where("block >= 0").select("block", "level", "part", "payload").groupBy("block").applyInArrow(task, schema)
 
     def drop(self) -> None:
-        for table, path in self.made:
-            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-            discard(self.spark, path)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        discard(self.spark, self.path)
 
 
 def score_texts(
@@ -411,31 +448,26 @@ def score_texts(
     corpus; frequent contexts are dealt out over buckets. The driver receives
     sums, and a row for each context with over ``split`` occurrences.
     """
+    with _bounded_batches(docs.sparkSession, BATCH_BYTES):
+        return _scored(docs, depth, least, prior, gain, block_bytes, bucket_tokens, split)
+
+
+def _scored(docs: DataFrame, depth, least, prior, gain, block_bytes, bucket_tokens, split) -> DataFrame:
     spark = docs.sparkSession
     found, path = written(_blocks(docs, block_bytes, depth), "blocks")
-    sums = found.agg(F.count(F.lit(1)), F.sum("n_tokens")).first()
-    tables = _Tables(spark, max(1, -(-sums[0] // TOGETHER)))
-    buckets = max(1, -(-(sums[1] or 0) // bucket_tokens))
-    given = {"buckets": buckets, "least": least, "prior": prior, "gain": gain, "split": split, "total": 0, "kinds": 0}
-    blocks = tables.put(found, "blocks")
+    blocks, tokens = found.agg(F.count_if(F.col("part") == 0), F.sum("total")).first()
+    table = _Table(spark, max(1, -(-blocks // TOGETHER)))
+    table.add(found)
     discard(spark, path)
-    columns = [name for name in blocks.columns if name != "n_tokens"]
-    answers: list[DataFrame] = []
-
-    def with_answers() -> DataFrame:
-        joined = blocks.select(columns)
-        for k, told in enumerate(answers):
-            one = told.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias(f"a{k}"))
-            joined = joined.join(one, "block", "left")
-        return joined
+    buckets = max(1, -(-(tokens or 0) // bucket_tokens))
+    given = {"buckets": buckets, "least": least, "prior": prior, "gain": gain, "split": split, "total": 0, "kinds": 0}
 
     def exchange(level: int, decided: dict | None, schema: str) -> DataFrame:
         settings = dict(given)
 
-        def ask(batches):
-            now = _Settings(**settings)
-            rows = (row for batch in batches for i in range(batch.num_rows) for row in batch.slice(i, 1).to_pylist())
-            yield from _batches((m for row in rows for m in _requests(row, now, level, decided is None)), MESSAGES)
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            asked = _requests(_read_block(batches), _Settings(**settings), level, decided is None)
+            yield from _batches(asked, MESSAGES)
 
         def answer(batches):
             now = _Settings(**settings)
@@ -445,11 +477,11 @@ def score_texts(
                     if level == 0:
                         yield from _answer_words(messages, bucket, now)
                     else:
-                        yield from _answer_pairs(messages, bucket, now, decided)
+                        yield from _answer_pairs(messages, bucket, level, now, decided)
 
             yield from _batches(rows(), schema)
 
-        sent = with_answers().mapInArrow(ask, MESSAGES)
+        sent = table.by_block(ask, MESSAGES)
         return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block").mapInArrow(answer, schema)
 
     most = 0
@@ -459,37 +491,32 @@ def score_texts(
             parts = exchange(level, None, "context bigint, n bigint, gain double").groupBy("context")
             for context, n, value in parts.agg(F.first("n"), F.sum("gain")).collect():
                 decided[context] = value > gain * n
-        answers.append(tables.put(exchange(level, decided, ANSWERS), f"answers-{level}"))
-        told = answers[-1].where("block < 0").agg(F.sum("total"), F.sum("kinds"), F.max("most")).first()
+        table.add(exchange(level, decided, ROWS))
+        told = table.rows().where(f"block < 0 AND level = {level}").agg(F.sum("total"), F.sum("kinds"), F.max("most")).first()
         if level == 0:
             given |= {"total": told[0] or 0, "kinds": told[1] or 0}
         most = told[2] or 0
 
     settings = dict(given)
-
-    def score(batches):
-        now = _Settings(**settings)
-        kinds = _arrow("row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                state = _state(row, now, depth)
-                entry = np.repeat(np.arange(len(row["length"])), row["length"])[~state["back"]]
-                per = lambda values, entry=entry, n=len(row["length"]): np.bincount(entry, values, n)
-                use = ~state["back"]
-                columns = [
-                    *(pa.array(row[name]) for name in ("row", "doc_id", "held_out")),
-                    per(None).astype(np.int64),
-                    per(state["known"][use]).astype(np.int64),
-                    per(np.log10(state["base"][use])),
-                    per(np.log10(state["p"][use])),
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c).cast(field.type) for c, field in zip(columns, kinds, strict=True)], schema=kinds
-                )
-
-    parts = with_answers().mapInArrow(score, f"row bigint, {SCORES.replace('train_tokens bigint, ', '')}")
-    whole = parts.groupBy("row").agg(
+    partial = f"row bigint, {SCORES.replace('train_tokens bigint, ', '')}"
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = _read_block(batches)
+        state = _state(row, _Settings(**settings), depth)
+        use, n = ~state["back"], len(row["length"])
+        entry = np.repeat(np.arange(n), row["length"])[use]
+        columns = [
+            pa.array(row["row"]),
+            pa.array(row["doc_id"], mask=row["no_id"].astype(bool)),
+            pa.array(row["held_out"].astype(bool)),
+            pa.array(np.bincount(entry, minlength=n)),
+            pa.array(np.bincount(entry, state["known"][use], n).astype(np.int64)),
+            pa.array(np.bincount(entry, np.log10(state["base"][use]), n)),
+            pa.array(np.bincount(entry, np.log10(state["p"][use]), n)),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, schema=_arrow(partial))
+
+    whole = table.by_block(score, partial).groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
         F.first("held_out").alias("held_out"),
         *(F.sum(name).alias(name) for name in ("n_tokens", "n_known", "base_score", "score")),
@@ -499,5 +526,5 @@ def score_texts(
         "base_score", "score",
     )
     result = written(scored, "scores")[0]
-    tables.drop()
+    table.drop()
     return result

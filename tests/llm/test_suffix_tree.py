@@ -5,7 +5,9 @@ import random
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
+import pyarrow as pa
 import pytest
 
 from tallyspan.llm import suffix_tree
@@ -124,12 +126,18 @@ def test_no_rows_and_nothing_to_learn_from(make_docs):
     assert [tuple(r) for r in rows] == [(held, True, 3, 0, 0, 0.0, 0.0)]
 
 
-def test_blocks_and_answers_join_where_they_lie(spark, make_docs):
-    tables = suffix_tree._Tables(spark, 4)
-    rows = spark.range(100).selectExpr("id AS block", "id AS x")
+def test_rows_of_a_block_are_read_where_they_lie(spark):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [x for batch in batches for x in batch.column("block").to_pylist()]
+        yield pa.RecordBatch.from_pylist([{"block": rows[0], "n": len(rows)}])
+
+    table = suffix_tree._Table(spark, 4)
+    rows = spark.range(100).selectExpr("id AS block", "-1 AS level", "0 AS part", "binary('x') AS payload")
     try:
-        left, right = tables.put(rows, "left"), tables.put(rows, "right").groupBy("block").count()
-        plan = left.join(right, "block", "left")._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange hashpartitioning" not in plan
+        for _ in range(3):
+            table.add(rows)
+        found = table.by_block(count, "block bigint, n bigint")
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, found.collect())) == [(i, 3) for i in range(100)]
     finally:
-        tables.drop()
+        table.drop()
