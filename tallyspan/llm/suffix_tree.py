@@ -211,7 +211,7 @@ def _requests(row: dict, given, level: int, only_split: bool = False) -> Iterato
     if level == 0:
         words, counts = row["words"], row["counts"]
         where = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % given.buckets
-        for bucket, chosen in _by_bucket(where, np.argsort(where, kind="stable")):
+        for bucket, chosen in _by_bucket(where, _stable(where, given.buckets)):
             text = np.frombuffer(b"\n".join(words[i] for i in chosen), np.uint8)
             yield {"bucket": bucket, "block": row["block"], "payload": _packed(counts[chosen], text)}
         return
@@ -232,6 +232,19 @@ def _requests(row: dict, given, level: int, only_split: bool = False) -> Iterato
         yield {"bucket": bucket, "block": row["block"], "payload": payload}
 
 
+def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, a place of each, and the number of the key at each place."""
+    found, back = np.unique(keys, return_inverse=True)
+    place = np.empty(len(found), np.int64)
+    place[back] = np.arange(len(keys))
+    return found, place, back
+
+
+def _stable(where: np.ndarray, buckets: int) -> np.ndarray:
+    """The stable order of bucket numbers, which NumPy finds by counting if they are short."""
+    return np.argsort(where.astype(np.uint16) if buckets <= 1 << 16 else where, kind="stable")
+
+
 def _by_bucket(where: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, positions) of everything, in the order of buckets."""
     dealt = where[order]
@@ -245,7 +258,7 @@ def _pairs(state: dict, given) -> dict:
     tried = np.flatnonzero(state["tried"])
     tokens = state["tokens"][tried]
     width = len(state["ids"])
-    keys, first, back = np.unique(state["code"][tried] * width + tokens, return_index=True, return_inverse=True)
+    keys, first, back = _unique(state["code"][tried] * width + tokens)
     at = tried[first]
     context, n, symbol = state["context"][at], state["n"][at], state["ids"][tokens[first]]
     shares = -(-n // given.split)
@@ -260,7 +273,7 @@ def _pairs(state: dict, given) -> dict:
         "count": np.bincount(back, state["trained"][tried], len(keys)).astype(np.int64),
         "parent": state["p"][at],
         "where": where,
-        "order": np.argsort(where, kind="stable"),
+        "order": _stable(where, given.buckets),
     }
 
 
@@ -271,7 +284,7 @@ def _state(row: dict, given, level: int) -> dict:
     where = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % given.buckets
     answers = row["answers"][0]
     ids, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-    for bucket, chosen in _by_bucket(where, np.argsort(where, kind="stable")):
+    for bucket, chosen in _by_bucket(where, _stable(where, given.buckets)):
         ids[chosen], counts[chosen] = _unpacked(answers[bucket])
     begins = np.zeros(len(tokens) + 1, bool)
     begins[np.cumsum(length) - length] = True
@@ -345,13 +358,13 @@ def _answer_pairs(messages: list, bucket: int, level: int, given, decided: dict
     blocks = [(block, len(a[0]), len(a[3])) for (block, _), a in zip(messages, asked, strict=True)]
     run_context, run_size, run_n, symbol, count, bits = (np.concatenate(parts) for parts in zip(*asked, strict=True))
     del asked, messages
-    contexts, first, run_code = np.unique(run_context, return_index=True, return_inverse=True)
+    contexts, first, run_code = _unique(run_context)
     n = run_n[first]
     width = int(symbol.max()) + 1
     if len(contexts) * width >= 1 << 63:  # then by their numbers in this bucket
         symbol = np.unique(symbol, return_inverse=True)[1]
         width = int(symbol.max()) + 1
-    keys, first, back = np.unique(np.repeat(run_code, run_size) * width + symbol, return_index=True, return_inverse=True)
+    keys, first, back = _unique(np.repeat(run_code, run_size) * width + symbol)
     del symbol
     total = np.bincount(back, count, len(keys)).astype(np.int64)
     owner = keys // width
