@@ -27,25 +27,23 @@ FROM sized GROUP BY conv_id
 """
 
 OP5 = r"""
-WITH lines AS (
+WITH RECURSIVE lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
     FROM documents
 ),
-counted AS (
-    SELECT doc_id, s, i, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS n, count(*) OVER (PARTITION BY doc_id) AS total
-    FROM lines
-),
-sums AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM counted),
-docs AS (SELECT doc_id, list(s ORDER BY i) AS s, list(upto ORDER BY i) AS upto, any_value(total) AS total FROM sums GROUP BY doc_id),
-sizes AS (SELECT CAST(pow(2, k) AS BIGINT) AS h FROM range(0, 20) t(k)),
-starts AS (SELECT doc_id, s, upto, h, unnest(range(0, total - h + 1)) AS i FROM docs, sizes WHERE h <= total),
+counted AS (SELECT doc_id, i, md5(s) AS k, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS n FROM lines),
 runs AS (
-    SELECT doc_id, i, h, array_to_string(s[i + 1 : i + h], chr(10)) AS run FROM starts
-    WHERE upto[i + h] - CASE WHEN i = 0 THEN 0 ELSE upto[i] END >= 10
+    SELECT doc_id, i, 1::BIGINT AS h, k, n FROM (SELECT *, count(*) OVER (PARTITION BY k) AS copies FROM counted) WHERE copies > 1
+    UNION ALL
+    SELECT doc_id, i, h, k, n FROM (
+        SELECT r.doc_id, r.i, r.h + 1 AS h, md5(r.k || c.k) AS k, r.n + c.n AS n,
+            count(*) OVER (PARTITION BY md5(r.k || c.k)) AS copies
+        FROM runs r JOIN counted c ON c.doc_id = r.doc_id AND c.i = r.i + r.h
+    ) WHERE copies > 1
 ),
 later AS (
     SELECT doc_id, i, h FROM (
-        SELECT doc_id, i, h, row_number() OVER (PARTITION BY h, run ORDER BY doc_id, i) AS copy FROM runs
+        SELECT doc_id, i, h, row_number() OVER (PARTITION BY h, k ORDER BY doc_id, i) AS copy FROM runs WHERE n >= 10
     ) WHERE copy > 1
 ),
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + h)) AS i FROM later)

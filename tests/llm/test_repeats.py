@@ -69,7 +69,7 @@ def brute_lines(rows, least):
     docs = sorted({(d, t) for d, t in rows if t is not None}, key=lambda x: (x[0] is not None, x[0] or 0))
     for doc, text in docs:
         lines = text.split("\n")
-        for size in (1 << k for k in range(12)):
+        for size in range(1, len(lines) + 1):
             for i in range(len(lines) - size + 1):
                 run = tuple(lines[i : i + size])
                 if sum(len(x.split()) for x in run) >= least:
