@@ -241,10 +241,15 @@ def scan_licenses(docs: DataFrame, templates=None, phrases=None, min_cover: floa
     ignored.
     """
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    shared = texts.sparkSession.sparkContext.broadcast(automaton(templates, phrases))
+    # plain values only, since workers unpickle them without this package
+    known = {"templates": templates, "phrases": phrases}
+    shared = texts.sparkSession.sparkContext.broadcast(known)
 
     def task(batches):
-        machine = shared.value
+        known = shared.value
+        if "built" not in known:  # once in each worker
+            known["built"] = automaton(known["templates"], known["phrases"])
+        machine = known["built"]
         for batch in slices(batches):
             rows = []
             for text in byte_texts(batch):
