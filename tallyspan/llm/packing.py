@@ -31,6 +31,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tallyspan.functions.keys import SEED
 from tallyspan.llm.texts import slices
@@ -43,40 +44,42 @@ END = 0  # id that ends a document
 VOCABULARY = "byte_bpe_50k.json"
 
 
-def load_ranks(path: str | None = None) -> dict[bytes, int]:
-    """Byte strings and ids of a byte-level vocabulary file of the tokenizers library, without special tokens.
+def load_vocabulary(path: str | None = None) -> dict:
+    """A byte-level vocabulary file of the tokenizers library: its content, special strings, and ranks of the others.
 
     Its strings write printable Latin-1 bytes as themselves and the other bytes,
     in order, as the characters from 256 on.
     """
     with open(path or public_tokenizers.path(VOCABULARY), encoding="utf-8") as file:
-        content = json.load(file)
-    special = {token["content"] for token in content.get("added_tokens", [])}
+        text = file.read()
+    content = json.loads(text)
+    special = [token["content"] for token in content.get("added_tokens", [])]
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - plain))}
-    vocabulary = content["model"]["vocab"]
-    return {bytes(byte_of[c] for c in word): n for word, n in vocabulary.items() if word not in special}
+    words = content["model"]["vocab"].items()
+    ranks = {bytes(byte_of[c] for c in word): n for word, n in words if word not in special}
+    return {"content": text, "special": special, "ranks": ranks}
 
 
-def encoding(ranks: dict[bytes, int]) -> tiktoken.Encoding:
-    """An encoder that gives the ids of the tokenizers library, several times as fast."""
-    return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+def encoder(vocabulary: dict):
+    """A function from texts to the ids that the tokenizers library gives, as unsigned 32-bit integers.
 
+    ``tiktoken`` gives the same ids several times as fast, but for texts that
+    hold a special string; those go through the library itself.
+    """
+    fast = tiktoken.Encoding(
+        "pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary["ranks"], special_tokens={}
+    )
+    whole: list[Tokenizer] = []
 
-class _Encoder:
-    """A vocabulary that builds its encoder once in each worker it is sent to."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self._built = ranks, None
-
-    def __getstate__(self):
-        return {"ranks": self.ranks, "_built": None}
+    def ids(text: str) -> array:
+        if not any(token in text for token in vocabulary["special"]):
+            return array("I", fast.encode_ordinary(text))
+        if not whole:
+            whole.append(Tokenizer.from_str(vocabulary["content"]))
+        return array("I", whole[0].encode(text, add_special_tokens=False).ids)
 
-    def ids(self, text: str) -> array:
-        """The text's ids, as unsigned 32-bit integers."""
-        if self._built is None:
-            self._built = encoding(self.ranks)
-        return array("I", self._built.encode_ordinary(text))
+    return ids
 
 
 def cut(n: int, capacity: int = CAPACITY, tail: int = TAIL) -> list[int]:
@@ -94,15 +97,19 @@ PIECE = "doc_id {}, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BI
 
 
 def _pieces(texts: DataFrame, path: str | None, keep_ids: bool, capacity: int) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(_Encoder(load_ranks(path)))
+    # plain values only, since workers unpickle them without this package
+    shared = texts.sparkSession.sparkContext.broadcast(load_vocabulary(path))
     tail = capacity // (CAPACITY // TAIL)
 
     def task(batches):
-        encoder = shared.value
+        vocabulary = shared.value
+        if "built" not in vocabulary:  # once in each worker
+            vocabulary["built"] = encoder(vocabulary)
+        encode = vocabulary["built"]
         for batch in slices(batches):
             docs, rows = batch.column("doc_id"), []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                ids = encoder.ids(text or "")
+                ids = encode(text or "")
                 ids.append(END)
                 ids, start = np.frombuffer(ids, np.uint32).astype("<u4", copy=False), 0
                 for length in cut(len(ids), capacity, tail):
@@ -153,8 +160,8 @@ def pack(
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids) of every piece.
 
     ``capacity`` is a power of two from 64 on. ``path`` names the vocabulary
-    file (on the driver, which sends it to the tasks); strings of special
-    tokens in a text are ordinary text. Null and empty texts are the end id
+    file (on the driver, which sends it to the tasks); strings of its special
+    tokens in a text get their ids, as in the library. Null and empty texts are the end id
     alone. Every row is a document of its own, also with a repeated or null
     doc_id. No documents give no pieces. Other columns are ignored.
     ``ids`` are little-endian unsigned 32-bit ids.
