@@ -6,9 +6,12 @@ signatures is the number of differing bytes. The signature is split into
 ``CHUNKS`` chunks of ``WIDTH`` bytes. Two signatures that differ in at most
 ``2 * CHUNKS - 1`` bytes differ in at most one byte of some chunk (pigeonhole),
 so enumerating the one byte that may differ, every chunk has ``WIDTH`` keys,
-and such a pair shares at least one key: none is lost. :func:`chunks_for`
-chooses the number of chunks so that pairs at the similarity threshold are
-within that distance by ``SIGMAS`` standard deviations.
+and such a pair shares at least one key: none is lost. Most pairs further apart
+share one too, and all pairs that share a key are decided on full sets up to a
+larger distance, :func:`reach_for`. :func:`chunks_for` chooses the number of
+chunks. Of pairs exactly at the similarity threshold, at most one in ``1 / LOSS``
+shares no key, and at most one in ``1 / LOSS`` is further apart than the reach;
+of more similar pairs fewer.
 
 Documents with equal sets are taken together first. Then
 
@@ -20,7 +23,7 @@ Documents with equal sets are taken together first. Then
 4. those not linked to it are compared, in tiles again, with each other and
    with all the rest of their group.
 
-So every pair within the signature distance is decided on full sets or joined
+So every pair that shares a key within the reach is decided on full sets or joined
 already, and no step's rows grow with the square of a group.
 """
 
@@ -41,21 +44,37 @@ from tallyspan.session import broadcast_if_small, checkpointed
 
 SHINGLE = 5
 WIDTH = 6
-SIGMAS = 4.2
+LOSS = 1e-9
 FIRSTS = 4  # bucket firsts that a document is compared with at the start
 BUCKET_BLOCK = 1024  # signatures in a block of a bucket
 SET_BLOCK = 128  # full sets in a block of a group
 
 
+def _differs(percent: int) -> float:
+    """The probability that a byte of the signatures of two sets of that similarity differs."""
+    return (1 - percent / 100) * 255 / 256
+
+
 def chunks_for(percent: int) -> int:
-    """The fewest chunks for which pairs of that similarity stay within the distance by SIGMAS deviations."""
-    differ = (1 - percent / 100) * 255 / 256
-    chunks = 1
-    while 2 * chunks - 0.5 < differ * WIDTH * chunks + SIGMAS * math.sqrt(WIDTH * chunks * differ * (1 - differ)):
-        chunks += 1
-        if chunks > 1000:
-            raise ValueError("the similarity threshold is too low for one allowed error in each chunk")
-    return chunks
+    """The fewest chunks for which a pair of that similarity shares no key with a probability of LOSS at most."""
+    q = _differs(percent)
+    none = 1 - (1 - q) ** WIDTH - WIDTH * q * (1 - q) ** (WIDTH - 1)  # two bytes of a chunk differ, or more
+    chunks = math.ceil(math.log(LOSS) / math.log(none)) if none > 0 else 1
+    if chunks > 1000:
+        raise ValueError("the similarity threshold is too low for one allowed error in each chunk")
+    return max(1, chunks)
+
+
+def reach_for(percent: int, chunks: int) -> int:
+    """The distance that a pair of that similarity exceeds with a probability of LOSS at most, by the binomial tail."""
+    q, size = _differs(percent), chunks * WIDTH
+    tail, reach = 0.0, size
+    while reach >= 0:
+        tail += math.comb(size, reach) * q**reach * (1 - q) ** (size - reach)
+        if tail > LOSS:
+            return reach
+        reach -= 1
+    return 2 * chunks - 1
 
 
 def _signatures(sets: list[np.ndarray], size: int) -> np.ndarray:
@@ -339,7 +358,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE)
     columns are ignored.
     """
     chunks = chunks_for(percent)
-    size, limit = chunks * WIDTH, 2 * chunks - 1
+    size, limit = chunks * WIDTH, max(2 * chunks - 1, reach_for(percent, chunks))
     source = docs.select(
         "doc_id",
         F.col("text").cast("string").alias("text"),

@@ -170,3 +170,27 @@ def test_vectors_against_brute_force(spark, block):
     found = embedding_dedup.near_duplicates(table.selectExpr("*", "1 AS cell", "2 AS rep"), block_rows=block)
     assert sorted(map(tuple, found.collect())) == brute_vectors(rows, 0.93)
     assert embedding_dedup.near_duplicates(table.where("vec_id < 0")).collect() == []
+
+
+@pytest.mark.parametrize("percent, common, own", [(85, 34, 3), (80, 32, 4)])
+def test_pairs_at_the_threshold_share_keys_within_the_reach(percent, common, own):
+    rng = np.random.default_rng(percent)
+    chunks = minhash_dedup.chunks_for(percent)
+    lost = 0
+    for _ in range(10):
+        every = rng.integers(0, 2**63, (10_000, common + 2 * own)).astype(np.uint64)
+        a = minhash_dedup._signatures(list(every[:, : common + own]), chunks * minhash_dedup.WIDTH)
+        b = minhash_dedup._signatures(list(np.delete(every, range(common, common + own), 1)), chunks * minhash_dedup.WIDTH)
+        meet = (minhash_dedup._slot_keys(a, chunks) == minhash_dedup._slot_keys(b, chunks)).any(1)
+        lost += int((~meet | ((a != b).sum(1) > minhash_dedup.reach_for(percent, chunks))).sum())
+    assert 100 * common == percent * (common + 2 * own)
+    assert lost == 0  # of 100,000 pairs
+
+
+def test_reach_is_the_binomial_tail():
+    rng = np.random.default_rng(3)
+    for percent in (80, 85, 95):
+        chunks = minhash_dedup.chunks_for(percent)
+        differ = rng.binomial(chunks * minhash_dedup.WIDTH, minhash_dedup._differs(percent), 1_000_000)
+        assert differ.max() <= minhash_dedup.reach_for(percent, chunks)
+    assert (minhash_dedup.chunks_for(100), minhash_dedup.reach_for(100, 1)) == (1, 0)
