@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.functions.keys import salt
-from tallyspan.functions.kernels import FarthestPairs, distance_sum, distances_to, feature_matrix
+from tallyspan.functions.kernels import FarthestPairs, distance_sum, feature_matrix
 from tallyspan.session import checkpointed
 from tallyspan.sources.points import checked_points, dimension_of
 
@@ -53,10 +53,10 @@ def _block_pairs(points: DataFrame, blocks: int) -> DataFrame:
         "point_id",
         "features",
     )
-    return _grouped(spread, blocks * (blocks + 1) // 2)
+    return grouped_pairs(spread, blocks * (blocks + 1) // 2)
 
 
-def _grouped(spread: DataFrame, pairs: int):
+def grouped_pairs(spread: DataFrame, pairs: int):
     """One partition for a few block pairs: many comparisons per byte shuffled."""
     return spread.repartition(max(1, min(pairs, 20_000)), "low", "high").groupBy("low", "high")
 
@@ -150,90 +150,6 @@ def compare_blocks(grouped, rows: int, floor: float, cap: int | None = None) ->
     return grouped.applyInArrow(compare, "i bigint, j bigint, d2 double, bound double")
 
 
-class BlockPlan:
-    """Blocks by nearest center, and the pairs of them that can hold a long pair of points.
-
-    A cluster of more than ``rows`` points is dealt into several blocks. Points
-    of two clusters are no further apart than their centers and both radii.
-    """
-
-    def __init__(self, centers: np.ndarray, counts: np.ndarray, radii: np.ndarray, rows: int, length: float):
-        self.centers = centers
-        self.subs = -(-counts // rows)
-        self.first = np.concatenate(([0], np.cumsum(self.subs)))
-        reach = np.array([distances_to(centers, center) for center in centers])
-        reach = reach + radii[:, None] + radii[None, :]
-        self.partners = (reach >= length * (1 - 1e-9)) & (counts[:, None] > 0) & (counts[None, :] > 0)
-        whole = np.outer(self.subs, self.subs)
-        own = self.subs * (self.subs + 1) // 2
-        self.total = int(np.triu(whole, 1).sum() + own.sum())
-        self.kept = int((np.triu(whole, 1) * self.partners).sum() + own[np.diag(self.partners)].sum())
-
-    def blocks_of(self, cluster: int) -> np.ndarray:
-        """The blocks that a cluster's points are compared with."""
-        return np.concatenate(
-            [np.arange(self.first[c], self.first[c + 1]) for c in np.flatnonzero(self.partners[cluster])]
-            or [np.empty(0, np.int64)]
-        )
-
-
-def _nearest_center(matrix: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    best, at = np.full(len(matrix), np.inf), np.zeros(len(matrix), np.int64)
-    for number, center in enumerate(centers):
-        dist = distances_to(matrix, center)
-        closer = dist < best
-        best[closer], at[closer] = dist[closer], number
-    return at, best
-
-
-def plan_blocks(points: DataFrame, centers: np.ndarray, rows: int, length: float) -> BlockPlan:
-    """One pass over the points for the clusters' sizes and radii: a row per center and task."""
-
-    def measure(batches):
-        counts, radii = np.zeros(len(centers), np.int64), np.zeros(len(centers))
-        for batch in batches:
-            at, dist = _nearest_center(feature_matrix(batch.column("features")), centers)
-            counts += np.bincount(at, minlength=len(centers))
-            np.maximum.at(radii, at, dist)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(centers))), pa.array(counts), pa.array(radii)], names=["at", "n", "r"]
-        )
-
-    found = points.select("features").mapInArrow(measure, "at bigint, n bigint, r double")
-    sums = {r["at"]: r for r in found.groupBy("at").agg(F.sum("n").alias("n"), F.max("r").alias("r")).collect()}
-    counts = np.array([sums[c]["n"] if c in sums else 0 for c in range(len(centers))], np.int64)
-    radii = np.array([sums[c]["r"] if c in sums else 0.0 for c in range(len(centers))])
-    return BlockPlan(centers, counts, radii, rows, length)
-
-
-def planned_pairs(points: DataFrame, plan: BlockPlan):
-    """The points of each pair of blocks in the plan, grouped; the others are never sent anywhere."""
-
-    def deal(batches):
-        for batch in batches:
-            ids = batch.column("point_id").to_numpy()
-            at, _ = _nearest_center(feature_matrix(batch.column("features")), plan.centers)
-            spread = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            block = plan.first[at] + (spread % np.maximum(plan.subs[at], 1).astype(np.uint64)).astype(np.int64)
-            for cluster in np.unique(at):
-                rows = np.flatnonzero(at == cluster)
-                own, part = block[rows], batch.take(pa.array(rows))
-                for other in plan.blocks_of(cluster):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.minimum(own, other)),
-                            pa.array(np.maximum(own, other)),
-                            pa.array(own),
-                            part.column("point_id"),
-                            part.column("features"),
-                        ],
-                        names=["low", "high", "block", "point_id", "features"],
-                    )
-
-    schema = "low bigint, high bigint, block bigint, point_id bigint, features array<double>"
-    return _grouped(points.select("point_id", "features").mapInArrow(deal, schema), plan.kept)
-
-
 def pairwise_distance_sum(points: DataFrame, n: int | None = None) -> DataFrame:
     """One row ``(total, pairs)``: sum and number of all pairwise distances."""
     points = checked_points(points)

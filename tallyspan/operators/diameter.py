@@ -12,20 +12,15 @@ from pyspark.sql import functions as F
 from tallyspan import session
 from tallyspan.functions.kernels import distances_to, feature_column, feature_matrix
 from tallyspan.functions.keys import SEED
-from tallyspan.operators.blocks import (
-    block_count,
-    compare_blocks,
-    farthest_pairs,
-    plan_blocks,
-    planned_pairs,
-)
+from tallyspan.operators.balls import farthest_distance
+from tallyspan.operators.blocks import farthest_pairs
 from tallyspan.operators.centers import k_center, require_fewer
 from tallyspan.operators.sampling import sample_points
 from tallyspan.session import checkpointed
 from tallyspan.sources.points import checked_points, dimension_of, with_dimension
 
-# Most clusters that the points are divided into before their blocks are paired.
-CLUSTERS = 64
+# Points that are compared at once; for more, leaving some out pays for the passes.
+DIRECT = 32_768
 
 
 def _mean(points: DataFrame, n: int) -> np.ndarray:
@@ -103,33 +98,25 @@ def outer_points(points: DataFrame, n: int) -> tuple[DataFrame, float]:
 def exact_mpd(points: DataFrame, n: int | None = None, written: bool = False) -> DataFrame:
     """One row ``max_distance``: the largest distance of any two points.
 
-    0 for fewer than two points. The points are written once, unless they are
-    ``written`` already, and reduced to those that matter. These are divided
-    among farthest-first centers; blocks whose points cannot be as far apart as
-    a pair found before are not compared, and the others block by block.
+    0 for fewer than two points. Up to DIRECT points are compared block by block
+    at once. More are written once, unless they are ``written`` already, and
+    reduced to those that can end a longest pair; a hierarchy of balls then says
+    which pairs of blocks to compare, see :mod:`tallyspan.operators.balls`.
     """
     points = checked_points(points).select("point_id", "features")
-    if not written:
-        points = checkpointed(points)
     if n is None:
         n = points.count()
     if n < 2:
         return points.sparkSession.range(1).select(F.lit(0.0).alias("max_distance"))
+    if n <= DIRECT:
+        return farthest_pairs(points, 1, n).agg(F.coalesce(F.sqrt(F.max("d2")), F.lit(0.0)).alias("max_distance"))
+    if not written:
+        points = checkpointed(points)
     dimension = dimension_of(points)
     outer, length = outer_points(points, n)
     outer = with_dimension(outer, dimension)
-    n = outer.count()
-    floor = (length * (1 - 1e-9)) ** 2
-    blocks = block_count(n, dimension, points.sparkSession.sparkContext.defaultParallelism)
-    if blocks == 1:  # nothing to leave out
-        farthest = farthest_pairs(outer, 1, n, floor)
-    else:
-        wanted = min(CLUSTERS, 2 * blocks, n - 1)
-        found = k_center(outer, wanted, written=True).select("features").collect()  # CLUSTERS rows
-        centers = np.array([row["features"] for row in found])
-        plan = plan_blocks(outer, centers, -(-n // blocks), length)
-        farthest = compare_blocks(planned_pairs(outer, plan), 1, floor)
-    return farthest.agg(F.coalesce(F.sqrt(F.max("d2")), F.lit(0.0)).alias("max_distance"))
+    length = farthest_distance(outer, outer.count(), length)[0]
+    return points.sparkSession.range(1).select(F.lit(float(length)).alias("max_distance"))
 
 
 def _max_distance_to(points: DataFrame, targets: np.ndarray) -> DataFrame:

@@ -4,13 +4,12 @@ import math
 import os
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import tallyspan as ts
 from tallyspan import session
-from tallyspan.operators import blocks, centers, diameter, matching
+from tallyspan.operators import blocks, centers, matching
 from tallyspan.operators.centers import _Centers
 
 
@@ -116,31 +115,6 @@ def test_all_points_are_numbered_without_one_window(make_points):
     assert [(r["rank"], r["point_id"]) for r in found] == [(i + 1, i) for i in range(20)]
 
 
-def test_clustered_vectors_skip_block_pairs(spark, monkeypatch):
-    plans = []
-    plain = diameter.plan_blocks
-    monkeypatch.setattr(diameter, "plan_blocks", lambda *a: plans.append(plain(*a)) or plans[-1])
-    monkeypatch.setattr(blocks, "BLOCK_ROWS", 4_000)
-    rng = np.random.default_rng(6)
-    middle = rng.normal(size=(12, 6))
-    x = middle[rng.integers(0, 12, 100_000)] + rng.normal(size=(100_000, 6)) * 0.02
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    table = pa.table({"point_id": np.arange(len(x)), "features": list(x)})
-    found = ts.exact_mpd(spark.createDataFrame(table)).first()[0]
-    assert plans and plans[0].kept < 0.2 * plans[0].total
-    u = x[rng.integers(0, 100_000, 2_000)]
-    assert np.sqrt(np.square(u[:, None] - u[None]).sum(-1)).max() <= found <= 2
-
-
-@pytest.mark.parametrize("width", [1, 2, 8])
-def test_largest_distance_in_planned_blocks(make_points, monkeypatch, width):
-    monkeypatch.setattr(blocks, "BLOCK_ROWS", 40)
-    x = np.random.default_rng(width).normal(size=(300, width))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    d = np.sqrt(np.square(x[:, None] - x[None]).sum(-1)).max()
-    assert ts.exact_mpd(make_points(x)).first()[0] == pytest.approx(d, abs=1e-12)
-
-
 def test_superseded_tables_are_deleted(spark, make_points, monkeypatch):
     monkeypatch.setattr(centers, "REFRESH_AFTER", 2)
     folder = session.checkpoint_folder(spark).removeprefix("file:")
