@@ -177,11 +177,12 @@ class Balls:
         tasks = max(1, min(len(some), 4 * self.spark.sparkContext.defaultParallelism))
         return ids.repartition(tasks).mapInArrow(partners, "low bigint, high bigint, upper double")
 
-    def grouped(self, pairs: DataFrame, count: int):
-        """The points of ``count`` pairs of blocks, for :func:`compare_blocks`; no other block is sent anywhere."""
+    def grouped(self, pairs: DataFrame, count: int, placed: DataFrame | None = None):
+        """The points (or those of ``placed``) of ``count`` pairs of blocks; no other block is sent anywhere."""
         ends = F.explode(F.array_distinct(F.array("low", "high"))).alias("block")
         wanted = broadcast_if_small(pairs.select("low", "high", ends), 2 * count)
-        return grouped_pairs(self.placed.join(wanted, "block"), count)
+        placed = self.placed if placed is None else placed
+        return grouped_pairs(placed.join(wanted, "block"), count)
 
 
 def farthest_distance(points: DataFrame, n: int, length: float) -> tuple[float, int, int]:

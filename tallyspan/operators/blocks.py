@@ -61,18 +61,18 @@ def grouped_pairs(spread: DataFrame, pairs: int):
     return spread.repartition(max(1, min(pairs, 20_000)), "low", "high").groupBy("low", "high")
 
 
-def _sides(table: pa.Table):
+def sides(table: pa.Table):
     """The two blocks of a group as (ids, matrix), in id order whatever came first."""
     ids = table["point_id"].to_numpy()
     block = table["block"].to_numpy()
     matrix = feature_matrix(table["features"])
     low, high = table["low"][0].as_py(), table["high"][0].as_py()
-    sides = []
+    found = []
     for number in (low, high):
         rows = np.flatnonzero(block == number)
         rows = rows[np.argsort(ids[rows], kind="stable")]
-        sides.append((ids[rows], matrix[rows]))
-    return sides[0], sides[1], low == high
+        found.append((ids[rows], matrix[rows]))
+    return found[0], found[1], low == high
 
 
 def farthest_pairs(
@@ -132,7 +132,7 @@ def compare_blocks(grouped, rows: int, floor: float, cap: int | None = None) ->
     """``(i, j, d2, bound)`` of every block pair; see :func:`leading_pairs` for the bound."""
 
     def compare(table: pa.Table) -> pa.Table:
-        (ids_a, a), (ids_b, b), same = _sides(table)
+        (ids_a, a), (ids_b, b), same = sides(table)
         best = FarthestPairs(rows, floor, cap)
         if len(a) and len(b):
             best.compare(ids_a, a, ids_b, b, same)
@@ -158,7 +158,7 @@ def pairwise_distance_sum(points: DataFrame, n: int | None = None) -> DataFrame:
     cores = points.sparkSession.sparkContext.defaultParallelism
 
     def add(table: pa.Table) -> pa.Table:
-        (_, a), (_, b), same = _sides(table)
+        (_, a), (_, b), same = sides(table)
         total, pairs = distance_sum(a, b, same)
         return pa.table({"total": [total], "pairs": pa.array([pairs], pa.int64())})
 

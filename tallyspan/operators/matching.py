@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from tallyspan.operators.blocks import leading_pairs, pairwise_distance_sum
 from tallyspan.operators.sampling import dense_positions
-from tallyspan.session import broadcast_if_small
+from tallyspan.operators.tiles import TileHeap
+from tallyspan.session import broadcast_if_small, checkpointed
 from tallyspan.sources.points import checked_points
 
+# Points from which on block pairs are opened one after the other.
+HEAP_FROM = 8_192
 # Most pairs that one pass returns to the driver.
 PAIR_POOL = 4_096
 # Most pairs that one pass settles.
@@ -48,7 +51,10 @@ def greedy_matching(
     lowest id at the end. With k at or above the number of points all are
     taken, in id order.
 
-    A pass over the block pairs returns farthest pairs in order, at most
+    More than HEAP_FROM points are written once, and pairs of blocks are opened
+    only when they may hold the next pair, see :mod:`tallyspan.operators.tiles`.
+
+    Of fewer points, a pass over the block pairs returns farthest pairs in order, at most
     ``pair_pool``, and of each point only its first few: whatever else a point
     is in cannot be taken before those few partners are used up. So one point
     that is far from all others does not fill the list, and a pass settles
@@ -65,6 +71,11 @@ def greedy_matching(
         ranked = places.select((F.col("position") + 1).cast("int").alias("rank"), "point_id")
         return points.join(broadcast_if_small(ranked, n), "point_id").select("rank", "point_id", "features")
     taken: list[int] = []
+    if n > HEAP_FROM:
+        points = checkpointed(points)
+        heap = TileHeap(points, n)
+        taken = heap.take(k // 2, pair_pool)
+        heap.close()
     while len(taken) < k - k % 2:
         rest = remaining_candidates(points, _ids(points, taken), len(taken)) if taken else points
         left, rounds = n - len(taken), k // 2 - len(taken) // 2
