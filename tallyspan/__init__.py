@@ -19,7 +19,7 @@ from tallyspan.operators.classes import (
     with_partition_key,
     with_physical_part,
 )
-from tallyspan.operators.coresets import coreset, with_parts
+from tallyspan.operators.coresets import coreset, coreset_tree, with_parts
 from tallyspan.operators.diameter import exact_mpd, k_center_mpd, two_approx_mpd
 from tallyspan.operators.distances import point_distances
 from tallyspan.operators.matching import (

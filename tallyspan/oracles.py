@@ -7,6 +7,8 @@ add coordinates in different orders.
 
 from __future__ import annotations
 
+import re
+
 from tallyspan.functions.keys import SEED
 
 _TOKENS = """
@@ -33,9 +35,18 @@ def with_clause(ctes: list[str], select: str) -> str:
 
 def center_ctes(k: int, parts: int) -> list[str]:
     """Farthest-first traversal of ``id mod parts``: tables c1..ck, and centers."""
+    return [_POINTS, *_traversal_ctes(k, f"SELECT *, id % {parts} AS part FROM pts")]
+
+
+def upper_center_ctes(k: int, fan: int) -> list[str]:
+    """The traversal of ``fan`` parts' centers at a time: all tables above named anew, and upper_centers."""
+    ctes = _traversal_ctes(k, f"SELECT id, x, part // {fan} AS part FROM centers")
+    return [re.sub(r"\b(part_pts|centers(?= AS)|[cm]\d+)\b", r"upper_\1", cte) for cte in ctes]
+
+
+def _traversal_ctes(k: int, parted: str) -> list[str]:
     ctes = [
-        _POINTS,
-        f"part_pts AS MATERIALIZED (SELECT *, id % {parts} AS part FROM pts)",
+        f"part_pts AS MATERIALIZED ({parted})",
         "c1 AS MATERIALIZED (SELECT part, id, x, NULL::DOUBLE AS d FROM part_pts QUALIFY"
         f" row_number() OVER (PARTITION BY part ORDER BY {random_order('id')}, id) = 1)",
         "m1 AS MATERIALIZED (SELECT p.part, p.id, p.x, list_distance(p.x, c.x) AS d"
@@ -57,11 +68,11 @@ def center_ctes(k: int, parts: int) -> list[str]:
     return ctes + [f"centers AS MATERIALIZED ({union})"]
 
 
-def matching_ctes(k: int) -> list[str]:
+def matching_ctes(k: int, centers: str = "centers") -> list[str]:
     """Greedy matching on ``centers``: table solution(rank, id, x)."""
     ctes = [
         "pairs AS MATERIALIZED (SELECT a.id AS i, b.id AS j,"
-        " list_distance(a.x, b.x) ** 2 AS d2 FROM centers a JOIN centers b ON a.id < b.id)"
+        f" list_distance(a.x, b.x) ** 2 AS d2 FROM {centers} a JOIN {centers} b ON a.id < b.id)"
     ]
     chosen: list[str] = []
     for r in range(1, k // 2 + 1):
@@ -80,11 +91,11 @@ def matching_ctes(k: int) -> list[str]:
     ]
     if k % 2:
         free = f" WHERE id NOT IN ({' UNION ALL '.join(chosen)})" if chosen else ""
-        picks.append(f"SELECT {k} AS rank, min(id) AS id FROM centers{free}")
+        picks.append(f"SELECT {k} AS rank, min(id) AS id FROM {centers}{free}")
     union = " UNION ALL ".join(picks)
     return ctes + [
         f"solution AS MATERIALIZED (SELECT s.rank, s.id, c.x FROM ({union}) s"
-        " JOIN centers c ON s.id = c.id)"
+        f" JOIN {centers} c ON s.id = c.id)"
     ]
 
 
@@ -109,7 +120,7 @@ def _two_approx(k: int) -> str:
     return f"SELECT max(list_distance(p.x, s.x)) AS d FROM pts p CROSS JOIN {_sample(k)} s"
 
 
-def oracle_sql(parts: int, k: int, k_even: int, k_odd: int, chunk: int) -> dict[str, str]:
+def oracle_sql(parts: int, k: int, k_even: int, k_odd: int, chunk: int, fan: int) -> dict[str, str]:
     """SQL for every registered query, with the parameters the queries use."""
     by_class = "SELECT event_type AS gamma, count(*) AS n FROM events GROUP BY 1"
     words = f"WITH tokens AS ({_TOKENS}) SELECT word, count(*) AS n FROM tokens GROUP BY 1"
@@ -226,6 +237,10 @@ def oracle_sql(parts: int, k: int, k_even: int, k_odd: int, chunk: int) -> dict[
             matched, "SELECT id AS point_id FROM centers WHERE id NOT IN (SELECT id FROM solution)"
         ),
         "diversity_max": with_clause(matched, "SELECT rank, id AS point_id FROM solution"),
+        "diversity_max_levels": with_clause(
+            center_ctes(k_even, parts * fan) + upper_center_ctes(k_even, fan) + matching_ctes(k_even, "upper_centers"),
+            "SELECT rank, id AS point_id FROM solution",
+        ),
         "avg_pairwise_distance": with_clause(matched, _AVERAGE),
         "diversity_report": with_clause(
             matched,

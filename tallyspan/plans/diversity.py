@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyspan.functions.keys import SEED
 from tallyspan.operators.centers import require_fewer
-from tallyspan.operators.coresets import coreset
+from tallyspan.operators.coresets import coreset_tree
 from tallyspan.operators.diameter import exact_mpd, k_center_mpd, two_approx_mpd
 from tallyspan.operators.matching import avg_pairwise_distance, greedy_matching
-from tallyspan.session import checkpointed
-from tallyspan.sources.points import checked_points
+from tallyspan.session import checkpointed, written
+from tallyspan.sources.points import checked_points, dimension_of, with_dimension
 
 
 def mpd_compare(points: DataFrame, k: int, seed: int = SEED) -> DataFrame:
@@ -37,25 +37,44 @@ def mpd_compare(points: DataFrame, k: int, seed: int = SEED) -> DataFrame:
 
 
 def diversity_max(
-    points: DataFrame, k: int, parts: int, partitioning: str = "key", seed: int = SEED
+    points: DataFrame,
+    k: int,
+    parts: int,
+    partitioning: str = "key",
+    seed: int = SEED,
+    levels: int = 1,
+    fan: int = 16,
 ) -> DataFrame:
-    """``(rank, point_id, features)``: k diverse points in two rounds.
+    """``(rank, point_id, features)``: k diverse points in ``levels`` + 1 rounds.
 
-    A coreset of the parts, then greedy matching on the coreset.
+    A coreset of the parts, if wanted coresets of ``fan`` coresets at a time
+    (see :func:`tallyspan.operators.coresets.coreset_tree`), then greedy matching.
     """
-    return greedy_matching(coreset(points, k, parts, partitioning, seed), k)
+    return greedy_matching(coreset_tree(points, k, parts, levels, fan, partitioning, seed), k)
 
 
 def diversity_report(
-    points: DataFrame, k: int, parts: int, partitioning: str = "key", seed: int = SEED
+    points: DataFrame,
+    k: int,
+    parts: int,
+    partitioning: str = "key",
+    seed: int = SEED,
+    levels: int = 1,
+    fan: int = 16,
 ) -> DataFrame:
-    """One row: number of points, k, L, coreset size, average distance."""
-    core = coreset(points, k, parts, partitioning, seed)
+    """One row: number of points, k, L, size of the (last) coreset, average distance.
+
+    The points are counted by the pass that writes them for the coreset.
+    """
+    seen = Observation()
+    counted = checked_points(points).observe(seen, F.count(F.lit(1)).alias("n"))
+    stored, _ = written(counted.select("point_id", "features"), "points")
+    stored = with_dimension(stored, dimension_of(points))
+    core = coreset_tree(stored, k, parts, levels, fan, partitioning, seed)
     size = core.count()
     average = avg_pairwise_distance(greedy_matching(core, k, size), min(k, size))
-    total = points.agg(F.count(F.lit(1)).alias("n"))
     return average.select(
-        total.scalar().alias("n"),
+        F.lit(seen.get["n"]).cast("bigint").alias("n"),
         F.lit(k).alias("k"),
         F.lit(parts).alias("parts"),
         F.lit(size).cast("bigint").alias("coreset_size"),

@@ -22,7 +22,7 @@ def duck():
     return connection
 
 
-SQL = oracles.oracle_sql(entry.PARTS, entry.K, entry.K_EVEN, entry.K_ODD, entry.CHUNK)
+SQL = oracles.oracle_sql(entry.PARTS, entry.K, entry.K_EVEN, entry.K_ODD, entry.CHUNK, entry.FAN)
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
 
 
