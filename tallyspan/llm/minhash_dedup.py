@@ -177,16 +177,19 @@ def _near_first(members: DataFrame, classes: DataFrame, limit: int) -> DataFrame
     return joined.mapInArrow(near, "a BIGINT, b BIGINT")
 
 
-def _blocked(rows: DataFrame, group: str, kind, size: int) -> DataFrame:
-    """Pairs of blocks of each group: the rows of ``kind`` (true) with all rows, not the others among themselves.
+def _blocked(rows: DataFrame, size: int, whole: bool = False) -> DataFrame:
+    """Pairs of blocks of each group: its ``rare`` rows with all rows, not the others among themselves.
 
-    Adds side (0, 1) and the tile (s1, s2); blocks of the others have negative numbers.
+    ``rare_rows`` and ``other_rows`` count the group's rows of both kinds. Adds
+    side (0, 1) and the tile (s1, s2); blocks of the others have negative
+    numbers. With ``whole``, a group of ``size`` rows or fewer is one tile.
     """
-    rows = rows.withColumn("rare", kind)
-    sizes = rows.groupBy(group).agg(
-        F.ceil(F.count_if("rare") / size).alias("rares"), F.ceil(F.count_if(~F.col("rare")) / size).alias("others")
+    rows = rows.where("rare_rows > 0").select(
+        "*",
+        F.ceil(F.col("rare_rows") / size).alias("rares"),
+        F.ceil(F.col("other_rows") / size).alias("others"),
+        (F.lit(whole) & (F.col("rare_rows") + F.col("other_rows") <= size)).alias("alone"),
     )
-    rows = rows.join(sizes, group).where("rares > 0")
     count = F.when(F.col("rare"), F.col("rares")).otherwise(F.col("others"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "cls"), count))
 
@@ -204,7 +207,10 @@ def _blocked(rows: DataFrame, group: str, kind, size: int) -> DataFrame:
     ).otherwise(F.expr("CAST(array() AS ARRAY<STRUCT<s1: BIGINT, s2: BIGINT, side: INT>>)"))
     from_other = F.transform(F.sequence(zero, F.col("rares") - 1), lambda s: tile(s, -1 - b, F.lit(1)))
     tiles = F.when(F.col("rare"), F.concat(among, with_others)).otherwise(from_other)
-    return rows.withColumn("tile", F.explode(tiles)).drop("block", "rares", "others", "rare").select("*", "tile.*").drop("tile")
+    tiles = F.when(F.col("alone"), F.array(tile(zero, zero, F.lit(0)))).otherwise(tiles)
+    return rows.withColumn("tile", F.explode(tiles)).drop(
+        "block", "rares", "others", "rare", "alone", "rare_rows", "other_rows"
+    ).select("*", "tile.*").drop("tile")
 
 
 def _sides(table: pa.Table):
@@ -218,10 +224,14 @@ def _mixed_buckets(members: DataFrame, classes: DataFrame, groups: DataFrame, li
     """Links (a, b) that join buckets of more than one group, by signature: a forest of each tile."""
     known = members.select("key", "cls").join(groups.withColumnsRenamed({"id": "cls", "component": "grp"}), "cls", "left")
     known = known.withColumn("grp", F.coalesce("grp", "cls"))
-    mixed = known.groupBy("key").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high")
-    rows = known.join(mixed, "key").select("key", "cls", "grp", "low")
+    counts = known.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
+    counts = counts.agg(F.min(F.struct("grp", "n")).alias("low"), F.max("grp").alias("high"), F.sum("n").alias("total"))
+    mixed = counts.where("low.grp < high").select(
+        "key", F.col("low.grp").alias("low"), (F.col("total") - F.col("low.n")).alias("rare_rows"), F.col("low.n").alias("other_rows")
+    )
     # a bucket's lowest group needs no comparison with itself
-    tiled = _blocked(rows, "key", F.col("grp") != F.col("low"), BUCKET_BLOCK).join(classes.select("cls", "sig"), "cls")
+    rows = known.join(mixed, "key").withColumn("rare", F.col("grp") != F.col("low")).drop("low")
+    tiled = _blocked(rows, BUCKET_BLOCK, whole=True).join(classes.select("cls", "sig"), "cls")
 
     def compare(table: pa.Table) -> pa.Table:
         left, right, same = _sides(table)
@@ -307,8 +317,8 @@ def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def _verified(grouped: DataFrame, sets: DataFrame, percent: int, limit: int) -> DataFrame:
     """Links (a, b) confirmed on full sets that join everything that is linked within the groups."""
     centers = checkpointed(_centers(grouped))
-    middle = centers.join(sets.withColumnRenamed("cls", "center"), "center").select("grp", "center", F.col("shingles").alias("own"))
-    others = grouped.join(sets, "cls").select("grp", "cls", "shingles")
+    middle = centers.join(sets.drop("sig").withColumnRenamed("cls", "center"), "center").select("grp", "center", F.col("shingles").alias("own"))
+    others = grouped.join(sets.drop("sig"), "cls").select("grp", "cls", "shingles")
     beside = others.join(middle, "grp").select("grp", "cls", "center", "shingles", "own")
 
     def near(batches):
@@ -321,10 +331,10 @@ def _verified(grouped: DataFrame, sets: DataFrame, percent: int, limit: int) ->
             )
 
     star = checkpointed(beside.mapInArrow(near, "grp BIGINT, cls BIGINT, center BIGINT, linked BOOLEAN"))
-    loose = star.groupBy("grp").agg(F.count_if(~F.col("linked")).alias("loose")).where("loose > 0")
-    rows = star.join(loose, "grp").select("grp", "cls", "linked")
-    tiled = _blocked(rows, "grp", ~F.col("linked"), SET_BLOCK)
-    tiled = tiled.join(grouped.select("cls", "sig"), "cls").join(sets, "cls")
+    kinds = star.groupBy("grp").agg(F.count_if(~F.col("linked")).alias("rare_rows"), F.count_if("linked").alias("other_rows"))
+    rows = star.join(kinds.where("rare_rows > 0"), "grp").withColumn("rare", ~F.col("linked"))
+    tiled = _blocked(rows.select("grp", "cls", "rare", "rare_rows", "other_rows"), SET_BLOCK)
+    tiled = tiled.join(sets, "cls")
 
     def compare(table: pa.Table) -> pa.Table:
         left, right, same = _sides(table)
@@ -403,18 +413,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE)
     grouped = checkpointed(groups.join(classes, "cls").select("grp", "cls", "sig", "row"))
 
     # full sets of the classes in groups, from one document each
-    wanted = grouped.select("cls", "row")
-    texts = source.select("row", "text").join(broadcast_if_small(wanted, wanted.count(), 32), "row")
+    wanted = grouped.select("cls", "row", "sig")
+    texts = source.select("row", "text").join(broadcast_if_small(wanted, wanted.count(), 64 + size), "row")
 
     def full(batches):
         for batch in slices(batches):
             sets = shingle_sets(byte_texts(batch), shingle)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cls"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["cls", "shingles"],
+                [
+                    batch.column("cls"),
+                    batch.column("sig"),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                ],
+                names=["cls", "sig", "shingles"],
             )
 
-    sets = texts.dropDuplicates(["cls"]).select("cls", "text").mapInArrow(full, "cls BIGINT, shingles ARRAY<BIGINT>")
+    one_each = texts.dropDuplicates(["cls"]).select("cls", "sig", "text")
+    sets = one_each.mapInArrow(full, "cls BIGINT, sig BINARY, shingles ARRAY<BIGINT>")
     parts = connected_components(_verified(grouped, checkpointed(sets), percent, limit))
     parts = classes.select("cls", "doc_id").join(parts.withColumnRenamed("id", "cls"), "cls", "left")
     parts = parts.withColumn("component", F.coalesce("component", "cls"))
