@@ -17,8 +17,12 @@ part may be larger than any executor:
 After a fixed number of new centers the distances are written down, and the
 centers as well. So what the driver and the map tasks hold is bounded by that
 number, not by k; the number shrinks until its size passes a check. Where not
-even one center per part passes, the traversal joins its newest centers from
-written tables instead (:func:`_centers_by_join`).
+even one center per part passes, groups of parts take turns.
+
+Points carry the number of their nearest center, and tasks get the distances of
+the newest centers to all earlier ones, so most distances that cannot matter are
+never computed (:mod:`tallyspan.functions.gaps`). As far as these distances
+between centers exceed their bound, points of long-known centers are measured.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan import session
+from tallyspan.functions.gaps import gap_table, shrink
 from tallyspan.functions.kernels import distances_to, feature_column, feature_matrix, first_rows
 from tallyspan.functions.keys import SEED
 from tallyspan.operators.sampling import first_of_each_part
@@ -64,9 +69,21 @@ class _Centers:
         self.counts = [1] * len(rows)
         self.finished = [False] * len(rows)
         self.dimension = len(rows[0][2])
+        self.most_gaps = 0
+        self.kept = [np.empty((0, self.dimension)) for _ in rows]
+        self.dropped = [0] * len(rows)
+        self.gaps: list[list[np.ndarray]] = [[np.empty(0)] for _ in rows]
+
+    def know_gaps(self, hold: int, most_bytes: int) -> None:
+        """Keep distances between centers for up to ``hold`` newest ones per part, as far as they fit."""
+        if 16 * hold * hold * len(self.parts) <= most_bytes:
+            self.most_gaps = most_bytes // (16 * (hold + self.dimension))
 
     def add(self, part: int, point_id: int, vector, dist: float | None, exhausted: bool) -> None:
         at = int(np.searchsorted(self.parts, part))
+        if self.most_gaps:
+            earlier = [self.kept[at], np.array(self.vectors[at]).reshape(-1, self.dimension)]
+            self.gaps[at].append(np.concatenate([distances_to(x, np.array(vector, np.float64)) for x in earlier]))
         self.ids[at].append(point_id)
         self.vectors[at].append(np.array(vector, np.float64))
         self.distances[at].append(dist)
@@ -91,6 +108,10 @@ class _Centers:
         vectors = [v for vs in self.vectors for v in vs]
         return np.array(vectors).reshape(starts[-1], self.dimension), starts
 
+    def gap_table(self):
+        """What :func:`shrink` wants to know of the distances between centers, if they are kept."""
+        return gap_table(self.kept, self.vectors, self.gaps, self.dropped) if self.most_gaps else None
+
     def chosen(self) -> np.ndarray:
         return np.sort(np.array([i for ids in self.ids for i in ids], np.int64))
 
@@ -113,15 +134,22 @@ class _Centers:
         )
 
     def forget(self) -> None:
-        """Drop the newest centers once they are written down."""
+        """Drop the newest centers once they are written down, but for the coordinates that gaps need."""
+        if self.most_gaps:
+            if sum(map(len, self.kept)) + sum(map(len, self.vectors)) > self.most_gaps:
+                self.dropped = list(self.counts)
+                self.kept = [np.empty((0, self.dimension)) for _ in self.parts]
+            else:
+                self.kept = [np.vstack([old, *new]) for old, new in zip(self.kept, self.vectors, strict=True)]
+            self.gaps = [[] for _ in self.parts]
         self.ids, self.vectors, self.distances = ([[] for _ in self.parts] for _ in range(3))
 
 
-def _nearest(batch: pa.RecordBatch, parts: np.ndarray, newest: tuple[np.ndarray, np.ndarray]):
-    """Part numbers, ids, coordinates and distance to the nearest center.
+def _nearest(batch: pa.RecordBatch, parts: np.ndarray, newest: tuple[np.ndarray, np.ndarray], gaps=None):
+    """Part numbers, ids, coordinates, distance to the nearest center and its number in the part.
 
     The distance is NaN in a part that has no center; it may overflow to
-    infinity in one that has.
+    infinity in one that has. The number is -1 unless ``gaps`` are known.
     """
     part = batch.column("part").to_numpy()
     ids = batch.column("point_id").to_numpy()
@@ -133,6 +161,19 @@ def _nearest(batch: pa.RecordBatch, parts: np.ndarray, newest: tuple[np.ndarray,
         nearest = batch.column("min_dist").to_numpy(zero_copy_only=False).copy()
     else:
         nearest = np.full(len(ids), np.nan)
+    if "owner" in batch.schema.names:
+        owner = batch.column("owner").to_numpy(zero_copy_only=False).copy()
+    else:
+        owner = np.full(len(ids), -1, np.int32)
+    if gaps is not None:
+        rows = np.flatnonzero(counts)
+        if len(rows) == len(ids):
+            shrink(matrix, at, nearest, owner, vectors, starts, gaps)
+        elif len(rows):
+            near, own = nearest[rows], owner[rows]
+            shrink(matrix[rows], at[rows], near, own, vectors, starts, gaps)
+            nearest[rows], owner[rows] = near, own
+        return part, ids, matrix, nearest, owner
     for turn in range(counts.max(initial=0)):
         rows = np.flatnonzero(counts > turn)
         if len(parts) == 1 and len(rows) == len(ids):
@@ -140,19 +181,19 @@ def _nearest(batch: pa.RecordBatch, parts: np.ndarray, newest: tuple[np.ndarray,
         else:
             dist = distances_to(matrix[rows], vectors[starts[at[rows]] + turn])
         nearest[rows] = np.fmin(nearest[rows], dist)
-    return part, ids, matrix, nearest
+    return part, ids, matrix, nearest, owner
 
 
 def _pools(state: DataFrame, centers: _Centers, rows: int, open_parts: dict) -> DataFrame:
     """Each map task's ``rows`` farthest points of every unfinished part."""
-    parts, newest, chosen = centers.parts, centers.flat(), centers.chosen()
+    parts, newest, chosen, gaps = centers.parts, centers.flat(), centers.chosen(), centers.gap_table()
     wanted = np.isin(parts, np.array(list(open_parts), np.int64))
 
     def farthest(batches):
         pool = None
         floor = np.full(len(parts), -np.inf)
         for batch in batches:
-            part, ids, matrix, nearest = _nearest(batch, parts, newest)
+            part, ids, matrix, nearest, _ = _nearest(batch, parts, newest, gaps)
             at = np.minimum(np.searchsorted(parts, part), len(parts) - 1)
             # a NaN, for a part without centers, is not at least anything
             keep = np.flatnonzero(wanted[at] & (parts[at] == part) & (nearest >= floor[at]))
@@ -248,24 +289,24 @@ def _first_centers(keyed: DataFrame, seed: int, first_ids) -> DataFrame:
 def _with_distances(
     state: DataFrame, centers: _Centers, keep_features: bool, keep_centers: bool = True
 ) -> DataFrame:
-    """Every point with ``min_dist``, its distance to the nearest center."""
-    parts, newest, chosen = centers.parts, centers.flat(), centers.chosen()
+    """Every point with ``min_dist``, its distance to the nearest center, and with coordinates that center's number."""
+    parts, newest, chosen, gaps = centers.parts, centers.flat(), centers.chosen(), centers.gap_table()
 
     def measure(batches):
         for batch in batches:
             if not keep_centers:
                 ids = batch.column("point_id").to_numpy()
                 batch = batch.filter(pa.array(~np.isin(ids, chosen)))
-            part, ids, matrix, nearest = _nearest(batch, parts, newest)
+            part, ids, matrix, nearest, owner = _nearest(batch, parts, newest, gaps)
             arrays = [pa.array(part), pa.array(ids), pa.array(nearest)]
             names = ["part", "point_id", "min_dist"]
             if keep_features:
-                arrays.append(feature_column(matrix))
-                names.append("features")
+                arrays += [pa.array(owner, pa.int32()), feature_column(matrix)]
+                names += ["owner", "features"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = "part bigint, point_id bigint, min_dist double"
-    return state.mapInArrow(measure, schema + (", features array<double>" if keep_features else ""))
+    return state.mapInArrow(measure, schema + (", owner int, features array<double>" if keep_features else ""))
 
 
 def _center_bytes(centers: int, dimension: int) -> int:
@@ -355,6 +396,7 @@ def _traverse(
     num_parts = len(rows)
     # a pass starts with up to this many centers per part and adds as many
     hold = max(1, min(REFRESH_AFTER, session.SMALL_BYTES // (2 * _center_bytes(num_parts, dimension))))
+    centers.know_gaps(hold, session.SMALL_BYTES // 8)
     row_bytes = 8 * dimension + 32
     few_tasks = all(row["tasks"] and row["tasks"] <= MERGE_TASKS for row in rows)
     merged = max(row["tasks"] for row in rows) if few_tasks else MERGE_TASKS
