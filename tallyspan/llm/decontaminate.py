@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tallyspan.llm.texts import byte_texts, plain_words, powers, slices
+from tallyspan.llm.texts import byte_texts, free_names, plain_words, powers, slices
 
 SIZE = 10
 BROADCAST_WORDS = 2_000_000  # about 200 MB of Python objects at most, and far less as pickled
@@ -195,20 +195,21 @@ def _by_join(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
                 names=["key", "place", "window"],
             )
 
-    keyed = docs.withColumn("_key", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    scanned = keyed.select(F.col("_key").alias("key"), "text").dropDuplicates(["key"])
+    names = docs.columns
+    own_key, own_items, own_places = free_names(names, "_key", "_items", "_places")
+    keyed = docs.withColumn(own_key, F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    scanned = keyed.select(F.col(own_key).alias("key"), "text").dropDuplicates(["key"])
     places = scanned.mapInArrow(text_task, "key BINARY, place BIGINT, window BINARY").join(windows, "window")
-    found = places.groupBy(F.col("key").alias("_key")).agg(
-        F.collect_set("item").alias("_items"),
-        F.collect_set(F.struct("place", "length")).alias("_places"),
+    found = places.groupBy(F.col("key").alias(own_key)).agg(
+        F.collect_set("item").alias(own_items),
+        F.collect_set(F.struct("place", "length")).alias(own_places),
     )
-    names = docs.columns
-    joined = keyed.join(found, "_key", "left").select(*names, "_items", "_places")
+    joined = keyed.join(found, own_key, "left").select(*names, own_items, own_places)
 
     def finish(batches):
         for batch in slices(batches):
             out = []
-            columns = (byte_texts(batch), batch.column("_items").to_pylist(), batch.column("_places").to_pylist())
+            columns = (byte_texts(batch), batch.column(own_items).to_pylist(), batch.column(own_places).to_pylist())
             for text, owners, spots in zip(*columns, strict=True):
                 spans = merge([(p["place"], p["place"] + p["length"]) for p in spots or ()])
                 out.append(_row(plain_words(text), spans, owners or []))

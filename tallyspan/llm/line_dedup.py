@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tallyspan.llm.texts import byte_texts, mix, slices
+from tallyspan.llm.texts import byte_texts, free_names, mix, slices
 
 MIN_WORDS = 10
 _P = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -117,18 +117,20 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFr
     is left is empty. Lines are split at line feeds and compared as they are;
     words are what white space separates. A null text stays null and has no
     lines; an empty one has one empty line. Columns of ``docs`` by the added
-    names are replaced.
+    names are replaced; all others stay, whatever their names.
     """
     found = repeated_lines(docs, min_words)
-    found = found.withColumnsRenamed({"doc_id": "_doc", "version": "_version", "runs": "_runs"})
+    docs = docs.drop("n_lines", "n_removed", "n_runs")
+    key, doc, version, runs = free_names(docs.columns, "_text", "_doc", "_version", "_runs")
+    found = found.withColumnsRenamed({"doc_id": doc, "version": version, "runs": runs})
     text = F.col("text").cast("string")
-    keyed = docs.drop("n_lines", "n_removed", "n_runs").withColumn("_text", F.xxhash64(text))
+    keyed = docs.withColumn(key, F.xxhash64(text))
     # runs are there for few documents, and each (doc_id, version) has one row
     joined = keyed.join(
-        found, (keyed["_text"] == found["_version"]) & keyed["doc_id"].eqNullSafe(found["_doc"]), "left"
+        found, (keyed[key] == found[version]) & keyed["doc_id"].eqNullSafe(found[doc]), "left"
     )
-    plain = joined.drop("_text", "_doc", "_version")
-    names = [c for c in plain.columns if c != "_runs"]
+    plain = joined.drop(key, doc, version)
+    names = docs.columns
     schema = StructType(
         [f for f in plain.select(names).schema if f.name != "text"]
         + [StructField("text", StringType())]
@@ -138,8 +140,8 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFr
     def task(batches):
         for batch in slices(batches):
             out = []
-            for text, runs in zip(batch.column("text").to_pylist(), batch.column("_runs").to_pylist(), strict=True):
-                out.append(_without(text, runs))
+            for text, taken in zip(batch.column("text").to_pylist(), batch.column(runs).to_pylist(), strict=True):
+                out.append(_without(text, taken))
             columns = [batch.column(f.name) for f in schema.fields[:-4]]
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
             columns += [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)]

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.keys import SEED
 from tallyspan.llm.components import connected_components, forest
-from tallyspan.llm.texts import byte_texts, mix, seeded, shingle_sets, slices
+from tallyspan.llm.texts import byte_texts, free_names, mix, seeded, shingle_sets, slices
 from tallyspan.session import broadcast_if_small, checkpointed
 
 SHINGLE = 5
@@ -454,8 +454,9 @@ def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
     columns stay as they are.
     """
     found = near_duplicates(docs, percent).where("kept AND component IS NOT NULL").select("component", "row")
-    one = found.groupBy("component").agg(F.min("row").alias("_row")).select("_row")
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id"), F.col("text").cast("string")))
-    stay = keyed.join(one, "_row", "left_semi").dropDuplicates(["_row"])
+    [row] = free_names(docs.columns, "_row")
+    one = found.groupBy("component").agg(F.min("row").alias(row)).select(row)
+    keyed = docs.withColumn(row, F.xxhash64(F.col("doc_id"), F.col("text").cast("string")))
+    stay = keyed.join(one, row, "left_semi").dropDuplicates([row])
     wordless = keyed.where(F.coalesce("text", F.lit("")).rlike(r"\A[\x20\x09-\x0D]*\z"))
-    return stay.unionByName(wordless).drop("_row")
+    return stay.unionByName(wordless).drop(row)

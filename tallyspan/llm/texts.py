@@ -24,6 +24,17 @@ def plain_words(text: bytes) -> list[bytes]:
     return text.translate(ALNUM).split()
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, each with underscores at its end until no column has it in upper or lower case."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows with at most ``limit`` bytes of text each."""
     for batch in batches:
