@@ -191,12 +191,57 @@ def _rounding_bound(a, b, center, reach: float) -> float:
     return bound + 8 * shift * np.sqrt(width * reach) + 8 * width * shift**2
 
 
-def distance_sum(a: np.ndarray, b: np.ndarray, same_block: bool) -> tuple[float, int]:
+class ExactSum:
+    """A sum of non-negative numbers without rounding, as integers by binary exponent.
+
+    A number is ``(high * 2**26 + low) * 2**(exponent - 53)`` with integers of 27
+    and 26 bits; those of one exponent are added up, so no order of the numbers
+    changes anything. Up to 2**36 numbers fit; infinite ones count under INFINITE.
+    """
+
+    INFINITE = 1_100
+    _LOWEST = -1_080
+
+    def __init__(self):
+        self.high, self.low = np.zeros((2, self.INFINITE + 1 - self._LOWEST), np.int64)
+
+    def add(self, values: np.ndarray) -> None:
+        for first in range(0, len(values), 1 << 20):  # bincount adds up to 2**53 exactly
+            some = values[first : first + (1 << 20)]
+            finite = np.isfinite(some)
+            self.high[-1] += len(some) - np.count_nonzero(finite)
+            part, exponent = np.frexp(some[finite])
+            whole = np.ldexp(part, 53).astype(np.int64)
+            for sums, digits in ((self.high, whole >> 26), (self.low, whole & ((1 << 26) - 1))):
+                sums += np.bincount(exponent - self._LOWEST, digits, len(sums)).astype(np.int64)
+
+    def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Exponents that occur, and their sums of high and low digits."""
+        used = np.flatnonzero(self.high | self.low)
+        return used + self._LOWEST, self.high[used], self.low[used]
+
+    def __float__(self) -> float:
+        return self.total(*(part.tolist() for part in self.parts()))
+
+    @classmethod
+    def total(cls, exponents: list[int], high: list[int], low: list[int]) -> float:
+        """The sum of such parts, rounded once."""
+        if any(e == cls.INFINITE and h for e, h in zip(exponents, high, strict=True)):
+            return float("inf")
+        shift = 53 - cls._LOWEST
+        units = sum(((int(h) << 26) + int(w)) << (e - cls._LOWEST) for e, h, w in zip(exponents, high, low, strict=True))
+        try:
+            return units / (1 << shift)
+        except OverflowError:
+            return float("inf")
+
+
+def distance_sum(a: np.ndarray, b: np.ndarray, same_block: bool) -> tuple[ExactSum, int]:
     """Sum and number of the distances of two blocks, or within one block."""
-    total, pairs = 0.0, 0
+    total, pairs = ExactSum(), 0
     for row in range(len(a)):
         others = b[row + 1 :] if same_block else b
         if len(others):
-            total += float(distances_to(others, a[row]).sum())
+            total.add(distances_to(others, a[row]))
             pairs += len(others)
     return total, pairs

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.functions.keys import salt
-from tallyspan.functions.kernels import FarthestPairs, distance_sum, feature_matrix
+from tallyspan.functions.kernels import ExactSum, FarthestPairs, distance_sum, feature_matrix
 from tallyspan.session import checkpointed
 from tallyspan.sources.points import checked_points, dimension_of
 
@@ -151,7 +151,12 @@ def compare_blocks(grouped, rows: int, floor: float, cap: int | None = None) ->
 
 
 def pairwise_distance_sum(points: DataFrame, n: int | None = None) -> DataFrame:
-    """One row ``(total, pairs)``: sum and number of all pairwise distances."""
+    """One row ``(total, pairs)``: sum and number of all pairwise distances.
+
+    The sum is exact and rounded once, so it is the same to the last bit
+    however points are dealt into blocks. Integer sums are combined per binary
+    exponent, and the last task sees at most one row for each.
+    """
     points = checked_points(points)
     if n is None:
         n = points.count()
@@ -160,9 +165,24 @@ def pairwise_distance_sum(points: DataFrame, n: int | None = None) -> DataFrame:
     def add(table: pa.Table) -> pa.Table:
         (_, a), (_, b), same = sides(table)
         total, pairs = distance_sum(a, b, same)
-        return pa.table({"total": [total], "pairs": pa.array([pairs], pa.int64())})
+        exponents, high, low = total.parts()
+        return pa.table(
+            {
+                "exponent": pa.array([*exponents.tolist(), 0], pa.int32()),
+                "high": pa.array([*high.tolist(), 0], pa.int64()),
+                "low": pa.array([*low.tolist(), 0], pa.int64()),
+                "pairs": pa.array([0] * len(exponents) + [pairs], pa.int64()),
+            }
+        )
+
+    def finish(table: pa.Table) -> pa.Table:
+        exponents, high, low, pairs = (table[c].to_pylist() for c in ("exponent", "high", "low", "pairs"))
+        return pa.table({"total": [ExactSum.total(exponents, high, low)], "pairs": pa.array([sum(pairs)], pa.int64())})
 
     grouped = _block_pairs(points, block_count(n, dimension_of(points), cores))
-    return grouped.applyInArrow(add, "total double, pairs bigint").agg(
-        F.sum("total").alias("total"), F.sum("pairs").alias("pairs")
-    )
+    sums = grouped.applyInArrow(add, "exponent int, high bigint, low bigint, pairs bigint")
+    # a table without points has a sum as well
+    nothing = points.sparkSession.range(1).selectExpr("0 AS exponent", "0L AS high", "0L AS low", "0L AS pairs")
+    wide = [F.sum(F.col(c).cast("decimal(28,0)")).alias(c) for c in ("high", "low")]
+    by_exponent = sums.unionByName(nothing).groupBy("exponent").agg(*wide, F.sum("pairs").alias("pairs"))
+    return by_exponent.groupBy().applyInArrow(finish, "total double, pairs bigint")
