@@ -46,7 +46,9 @@ BATCH_BYTES = 8 << 20
 # Parts of blocks have level -1; answers the level and the bucket they come from, their sums block -1.
 ROWS = "block bigint, level int, part int, payload binary, total bigint, kinds bigint, most bigint"
 MESSAGES = "bucket int, block bigint, payload binary"
-FIELDS = ("row", "doc_id", "no_id", "held_out", "skip", "length", "tokens", "counts", "words")
+_SPACES = b" \t\n\x0b\x0c\r"
+_BLANK = bytes(32 if byte in _SPACES else 0 for byte in range(256))
+FIELDS = ("row", "doc_id", "no_id", "held_out", "skip", "length", "tokens", "counts", "crc", "words")
 SCORES = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
     "base_score double, score double"
@@ -95,12 +97,12 @@ def _block(number: int, entries: list[tuple]) -> Iterator[dict]:
     text. Words before a part are tokens to look back on only.
     """
     texts = [b" ".join([*before, text]) for *_, before, text, _ in entries]
-    joined = np.frombuffer(b" ".join(texts).translate(SPACED) + b" ", np.uint8)
-    space = (joined == 32) | ((joined >= 9) & (joined <= 13))
-    edge = np.diff(np.concatenate(([1], space.view(np.int8))))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    joined = b" ".join(texts).translate(SPACED) + b" "
+    space = np.frombuffer(b" " + joined.translate(_BLANK), np.uint8)
+    edges = np.flatnonzero(space[1:] != space[:-1])  # a word's start and its end, in turn
+    starts, ends = edges[::2], edges[1::2]
     offsets = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)
-    letters = joined[~space].tobytes()
+    letters = joined.translate(None, _SPACES)
     found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
     coded = found.dictionary_encode()
     bounds = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
@@ -120,6 +122,7 @@ def _block(number: int, entries: list[tuple]) -> Iterator[dict]:
         "length": length,
         "tokens": tokens,
         "counts": np.bincount(tokens[trained], minlength=len(words)),
+        "crc": np.fromiter(map(zlib.crc32, words), np.int64, len(words)),
         "words": np.frombuffer(b"\n".join(words), np.uint8),
     }
     blob = _packed(*(fields[name] for name in FIELDS))
@@ -139,7 +142,6 @@ def _read_block(batches) -> dict:
             else:
                 answers.setdefault(level, {})[part] = payload
     fields = dict(zip(FIELDS, _unpacked(b"".join(parts[i] for i in range(len(parts)))), strict=True))
-    fields["words"] = fields["words"].astype(np.uint8).tobytes().split(b"\n")
     return fields | {"block": block, "answers": answers}
 
 
@@ -209,8 +211,8 @@ class _Settings:
 def _requests(row: dict, given, level: int, only_split: bool = False) -> Iterator[dict]:
     """A block's messages of a level, one for each bucket that holds any of its words or pairs."""
     if level == 0:
-        words, counts = row["words"], row["counts"]
-        where = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % given.buckets
+        words, counts = row["words"].astype(np.uint8).tobytes().split(b"\n"), row["counts"]
+        where = row["crc"] % given.buckets
         for bucket, chosen in _by_bucket(where, _stable(where, given.buckets)):
             text = np.frombuffer(b"\n".join(words[i] for i in chosen), np.uint8)
             yield {"bucket": bucket, "block": row["block"], "payload": _packed(counts[chosen], text)}
@@ -218,6 +220,9 @@ def _requests(row: dict, given, level: int, only_split: bool = False) -> Iterato
     state = _state(row, given, level - 1)
     pairs = _pairs(state, given)
     split = pairs["n"] > given.split
+    trained = ~np.repeat(row["held_out"].astype(bool), row["length"]) & ~state["back"]
+    count = np.bincount(pairs["back"][trained[pairs["tried"]]], minlength=len(split))
+    code = np.minimum(np.round(-64 * np.log2(state["p"][pairs["at"]])), 65535)
     for bucket, chosen in _by_bucket(pairs["where"], pairs["order"]):
         if only_split:
             chosen = chosen[split[chosen]]
@@ -226,18 +231,26 @@ def _requests(row: dict, given, level: int, only_split: bool = False) -> Iterato
         context = pairs["context"][chosen]
         first = np.flatnonzero(np.diff(context, prepend=-1))
         sizes = np.diff([*first, len(chosen)])
-        bits = np.minimum(np.round(-64 * np.log2(pairs["parent"][chosen])), 65535)
-        counts = pairs["count"][chosen]
-        payload = _packed(context[first], sizes, pairs["n"][chosen][first], pairs["symbol"][chosen], counts, bits)
+        n, symbol = pairs["n"][chosen][first], pairs["symbol"][chosen]
+        payload = _packed(context[first], sizes, n, symbol, count[chosen], code[chosen])
         yield {"bucket": bucket, "block": row["block"], "payload": payload}
 
 
 def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The different keys, a place of each, and the number of the key at each place."""
-    found, back = np.unique(keys, return_inverse=True)
-    place = np.empty(len(found), np.int64)
-    place[back] = np.arange(len(keys))
-    return found, place, back
+    shift = len(keys).bit_length()
+    if len(keys) and int(keys.max()) < 1 << (63 - shift):  # key and place fit one number, which sorts at once
+        dealt = np.sort(keys << shift | np.arange(len(keys)))
+        order = dealt & ((1 << shift) - 1)
+        dealt >>= shift
+    else:
+        order = np.argsort(keys)
+        dealt = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(dealt[1:], dealt[:-1], out=new[1:])
+    back = np.empty(len(keys), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return dealt[new], order[new], back
 
 
 def _stable(where: np.ndarray, buckets: int) -> np.ndarray:
@@ -261,8 +274,10 @@ def _pairs(state: dict, given) -> dict:
     keys, first, back = _unique(state["code"][tried] * width + tokens)
     at = tried[first]
     context, n, symbol = state["context"][at], state["n"][at], state["ids"][tokens[first]]
-    shares = -(-n // given.split)
-    spread = np.where(shares > 1, 1 + symbol % np.maximum(shares, 1), 0).astype(np.uint64)
+    spread = np.zeros(1, np.uint64)
+    if len(n) and n.max() > given.split:
+        shares = -(-n // given.split)
+        spread = np.where(shares > 1, 1 + symbol % np.maximum(shares, 1), 0).astype(np.uint64)
     where = (mix(context.astype(np.uint64) ^ mix(spread)) % np.uint64(given.buckets)).astype(np.int64)
     return {
         "tried": tried,
@@ -270,8 +285,7 @@ def _pairs(state: dict, given) -> dict:
         "context": context,
         "n": n,
         "symbol": symbol,
-        "count": np.bincount(back, state["trained"][tried], len(keys)).astype(np.int64),
-        "parent": state["p"][at],
+        "at": at,
         "where": where,
         "order": _stable(where, given.buckets),
     }
@@ -279,11 +293,10 @@ def _pairs(state: dict, given) -> dict:
 
 def _state(row: dict, given, level: int) -> dict:
     """A block's tokens, probabilities and next contexts to try, once the answers up to ``level`` are in."""
-    tokens, length, words = row["tokens"], row["length"], row["words"]
+    tokens, length, where = row["tokens"], row["length"], row["crc"] % given.buckets
     back = _looked_back(length, row["skip"])
-    where = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % given.buckets
     answers = row["answers"][0]
-    ids, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    ids, counts = np.zeros(len(where), np.int64), np.zeros(len(where), np.int64)
     for bucket, chosen in _by_bucket(where, _stable(where, given.buckets)):
         ids[chosen], counts[chosen] = _unpacked(answers[bucket])
     begins = np.zeros(len(tokens) + 1, bool)
@@ -294,10 +307,9 @@ def _state(row: dict, given, level: int) -> dict:
     state = {
         "tokens": tokens,
         "ids": ids,
-        "trained": ~np.repeat(row["held_out"].astype(bool), length) & ~back,
         "back": back,
-        "known": counts[tokens] > 0,
-        "base": base[tokens],
+        "known": counts > 0,
+        "base": base,
         "p": base[tokens],
         "code": before,
         "context": ids[before],
@@ -517,14 +529,14 @@ def _scored(docs: DataFrame, depth, least, prior, gain, block_bytes, bucket_toke
         row = _read_block(batches)
         state = _state(row, _Settings(**settings), depth)
         use, n = ~state["back"], len(row["length"])
-        entry = np.repeat(np.arange(n), row["length"])[use]
+        entry, tokens = np.repeat(np.arange(n), row["length"])[use], state["tokens"][use]
         columns = [
             pa.array(row["row"]),
             pa.array(row["doc_id"], mask=row["no_id"].astype(bool)),
             pa.array(row["held_out"].astype(bool)),
             pa.array(np.bincount(entry, minlength=n)),
-            pa.array(np.bincount(entry, state["known"][use], n).astype(np.int64)),
-            pa.array(np.bincount(entry, np.log10(state["base"][use]), n)),
+            pa.array(np.bincount(entry, state["known"][tokens], n).astype(np.int64)),
+            pa.array(np.bincount(entry, np.log10(state["base"])[tokens], n)),
             pa.array(np.bincount(entry, np.log10(state["p"][use]), n)),
         ]
         yield pa.RecordBatch.from_arrays(columns, schema=_arrow(partial))

@@ -6,7 +6,9 @@ leaf and measures the balls' radii. Leaves are cut into blocks of bounded size.
 Two points are no further apart than their balls' centers and both radii: pairs
 of blocks with a bound below a known distance are never compared, and the
 others are compared in rounds, largest bound first, each round raising that
-distance for the next.
+distance for the next. Rounds send their blocks through a shuffle. Where the
+bounds leave so many pairs that this would be SENT times the table, all others
+are compared in a Cartesian product of written blocks, which shuffles nothing.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan import session
-from tallyspan.functions.kernels import distances_to, feature_matrix
+from tallyspan.functions.kernels import FarthestPairs, distances_to, feature_matrix
 from tallyspan.functions.keys import SEED, random_order
 from tallyspan.operators.blocks import block_count, compare_blocks, grouped_pairs
 from tallyspan.session import broadcast_if_small, checkpointed
@@ -32,6 +34,8 @@ LEAST_ROWS = 4_096
 # A round compares this many pairs of blocks per core, and the next one GROWTH times as many.
 ROUND_PAIRS = 4
 GROWTH = 4
+# Rounds send blocks of this many points for each point of the table.
+SENT = 4
 
 
 class Tree:
@@ -141,7 +145,7 @@ class Balls:
                 )
 
         self.placed = checkpointed(kept.mapInArrow(deal, "block bigint, point_id bigint, features array<double>"))
-        self.spark, self.blocks = spark, int(self.first[-1])
+        self.spark, self.blocks, self.dimension = spark, int(self.first[-1]), dimension
 
     def pairs(self, length: float) -> DataFrame:
         """``(low, high, upper)`` of the pairs of blocks that may hold a pair of points further apart than ``length``.
@@ -184,25 +188,99 @@ class Balls:
         placed = self.placed if placed is None else placed
         return grouped_pairs(placed.join(wanted, "block"), count)
 
+    def packed(self, rows: int) -> DataFrame:
+        """``(group, blocks, sizes, coordinates)``: neighbouring blocks of about ``rows`` points as one row.
+
+        Every partition holds one row. The points are shuffled once.
+        """
+        sizes = np.repeat(self.counts[self.tree.leaves] / np.maximum(self.parts, 1), self.parts)
+        group = np.unique((np.cumsum(sizes) - sizes) // rows, return_inverse=True)[1]
+        dealt = pa.table({"block": pa.array(range(self.blocks), pa.int64()), "group": pa.array(group, pa.int32())})
+        told = broadcast_if_small(self.spark.createDataFrame(dealt), self.blocks)
+
+        def pack(batches):
+            held = [batch for batch in batches if batch.num_rows]
+            if held:
+                table = pa.Table.from_batches(held)
+                block = table["block"].to_numpy()
+                blocks, sizes = np.unique(block, return_counts=True)
+                matrix = feature_matrix(table["features"])[np.argsort(block, kind="stable")]
+                columns = [table["group"][0].as_py()], [blocks], [sizes], [matrix.tobytes()]
+                kinds = pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()
+                arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["group", "blocks", "sizes", "coordinates"])
+
+        spread = self.placed.join(told, "block").repartitionById(int(group[-1]) + 1, "group")
+        schema = "group int, blocks array<bigint>, sizes array<bigint>, coordinates binary"
+        return checkpointed(spread.mapInArrow(pack, schema))
+
+    def largest(self, rows: int, length: float, cut: float | None) -> tuple[float, int]:
+        """The largest distance if it is over ``length``, and the pairs of blocks compared for it.
+
+        Pairs of blocks that cannot exceed ``length`` are left out, and those
+        that may reach ``cut``. A task reads two rows of blocks from where they
+        are written.
+        """
+        tree, radii, first, dimension = self.tree, self.radii, self.first, self.dimension
+        centers, leaves = tree.centers, tree.leaves
+
+        def blocks_of(batch, at, side):
+            matrix = np.frombuffer(batch.column(f"coordinates_{side}")[at].as_buffer()).reshape(-1, dimension)
+            blocks, sizes = (batch.column(f"{name}_{side}")[at].values.to_numpy() for name in ("blocks", "sizes"))
+            leaf = leaves[np.searchsorted(first, blocks, "right") - 1]
+            return blocks, leaf, np.split(matrix, np.cumsum(sizes)[:-1])
+
+        def compare(batches):
+            best, opened = FarthestPairs(1, (length * (1 - 1e-9)) ** 2), 0
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    low, low_leaf, a = blocks_of(batch, at, "low")
+                    high, high_leaf, b = blocks_of(batch, at, "high")
+                    met = []
+                    for i, ball in enumerate(low_leaf):
+                        upper = distances_to(centers[high_leaf], centers[ball]) + radii[high_leaf] + radii[ball]
+                        due = (high >= low[i]) & (upper * (1 + 1e-9) > length)
+                        if cut is not None:
+                            due &= upper < cut
+                        met += [(upper[j], i, j) for j in np.flatnonzero(due)]
+                    for upper, i, j in sorted(met, reverse=True):
+                        if len(best.d2) and upper * (1 + 1e-9) <= np.sqrt(best.d2[0]):
+                            break
+                        opened += 1
+                        best.compare(np.arange(len(a[i])), a[i], np.arange(len(b[j])), b[j], low[i] == high[j])
+            found = np.sqrt(best.d2)
+            yield pa.RecordBatch.from_arrays([pa.array([*found, length][:1]), pa.array([opened])], names=["d", "pairs"])
+
+        packed = self.packed(rows)
+        low, high = (packed.select(*(F.col(c).alias(f"{c}_{side}") for c in packed.columns)) for side in ("low", "high"))
+        # without the hint Spark may guess the blocks small and send them through the driver
+        both = low.hint("shuffle_replicate_nl").crossJoin(high).where("group_low <= group_high")
+        found = both.mapInArrow(compare, "d double, pairs bigint").agg(F.max("d"), F.sum("pairs")).first()
+        return max(length, found[0]), found[1]
+
 
 def farthest_distance(points: DataFrame, n: int, length: float) -> tuple[float, int, int]:
     """The largest distance of two of the ``n`` written points, the pairs of blocks compared, and those there are.
 
     ``length`` is the distance of some pair, or 0. A round returns one number.
+    What is shuffled grows with the points, not with the pairs of blocks.
     """
     cores = points.sparkSession.sparkContext.defaultParallelism
-    rows = max(LEAST_ROWS, -(-n // block_count(n, dimension_of(points), cores)) // 4)
-    balls = Balls(points, n, rows)
-    pairs, cut = checkpointed(balls.pairs(length)), math.inf
-    opened, wanted, first = 0, ROUND_PAIRS * cores, True
+    together = -(-n // block_count(n, dimension_of(points), cores))
+    balls = Balls(points, n, max(LEAST_ROWS, together // 4))
+    pairs, cut = checkpointed(balls.pairs(length)), None
+    opened, wanted, total = 0, min(ROUND_PAIRS * cores, balls.blocks), balls.blocks * (balls.blocks + 1) // 2
     while True:
         below = pairs.where(F.col("upper") * (1 + 1e-9) > length)
-        below = below if first else below.where(F.col("upper") < cut)
+        below = below if cut is None else below.where(F.col("upper") < cut)
         least, some = below.orderBy(F.desc("upper")).limit(wanted).agg(F.min("upper"), F.count("upper")).first()
         if not some:
-            return length, opened, balls.blocks * (balls.blocks + 1) // 2
+            return length, opened, total
         now = below.where(F.col("upper") >= least)
         count = now.count()  # with ties, more than were asked for
+        if 2 * (opened + count) > SENT * balls.blocks:
+            length, more = balls.largest(together, length, cut)
+            return length, opened + more, total
         found = compare_blocks(balls.grouped(now, count), 1, (length * (1 - 1e-9)) ** 2)
         length = max(length, found.agg(F.coalesce(F.sqrt(F.max("d2")), F.lit(0.0))).first()[0])
-        opened, cut, wanted, first = opened + count, least, wanted * GROWTH, False
+        opened, cut, wanted = opened + count, least, wanted * GROWTH

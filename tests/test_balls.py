@@ -73,3 +73,18 @@ def test_pairs_of_blocks_compared_on_a_shell_with_noise(spark):
     assert total > 100 and opened < 0.5 * total
     out = x[np.linalg.norm(x, axis=1) > 1.002]
     assert found >= largest(out) - 1e-12
+
+
+@pytest.mark.parametrize("kind", ["sphere", "equal"])
+def test_what_is_sent_grows_with_the_points(make_points, small_blocks, monkeypatch, kind):
+    sent, plain = [], balls.Balls.grouped
+
+    def grouped(self, pairs, count, *given):
+        ends = pairs.selectExpr("explode(array_distinct(array(low, high))) AS block")
+        sent.append(ends.join(self.placed, "block").count())
+        assert sum(sent) <= 6 * len(x)
+        return plain(self, pairs, count, *given)
+
+    monkeypatch.setattr(balls.Balls, "grouped", grouped)
+    x = cloud(kind, 400, 12)
+    assert ts.exact_mpd(make_points(x)).first()[0] == largest(x)
