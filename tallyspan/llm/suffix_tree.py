@@ -17,6 +17,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +91,12 @@ def _long_text(text: bytes, size: int, depth: int) -> Iterator[tuple[list[bytes]
         start = end
 
 
+def _lines(words: pa.Array) -> bytes:
+    """The words with line feeds between them."""
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(words)], pa.int64()), words)
+    return pc.binary_join(whole, pa.scalar(b"\n", words.type))[0].as_py()
+
+
 def _block(number: int, entries: list[tuple]) -> Iterator[dict]:
     """The rows of a block of (row, doc_id, held_out, words before, text, is last).
 
@@ -111,7 +118,8 @@ def _block(number: int, entries: list[tuple]) -> Iterator[dict]:
     length = np.diff(bounds) + last
     skip = np.array([len(e[3]) for e in entries])
     trained = np.repeat(np.array([not e[2] for e in entries], bool), length) & ~_looked_back(length, skip)
-    words = [b"", *coded.dictionary.to_pylist()]
+    lines = b"\n" + _lines(coded.dictionary)
+    words = lines.split(b"\n")
     ids = np.array([e[1] or 0 for e in entries], np.int64).view(np.uint64)
     fields = {
         "row": [e[0] for e in entries],
@@ -123,7 +131,7 @@ def _block(number: int, entries: list[tuple]) -> Iterator[dict]:
         "tokens": tokens,
         "counts": np.bincount(tokens[trained], minlength=len(words)),
         "crc": np.fromiter(map(zlib.crc32, words), np.int64, len(words)),
-        "words": np.frombuffer(b"\n".join(words), np.uint8),
+        "words": np.frombuffer(lines, np.uint8),
     }
     blob = _packed(*(fields[name] for name in FIELDS))
     for part, at in enumerate(range(0, len(blob), PART_BYTES)):
@@ -211,10 +219,11 @@ class _Settings:
 def _requests(row: dict, given, level: int, only_split: bool = False) -> Iterator[dict]:
     """A block's messages of a level, one for each bucket that holds any of its words or pairs."""
     if level == 0:
-        words, counts = row["words"].astype(np.uint8).tobytes().split(b"\n"), row["counts"]
+        words = pa.array(row["words"].astype(np.uint8).tobytes().split(b"\n"), pa.large_binary())
+        counts = row["counts"]
         where = row["crc"] % given.buckets
         for bucket, chosen in _by_bucket(where, _stable(where, given.buckets)):
-            text = np.frombuffer(b"\n".join(words[i] for i in chosen), np.uint8)
+            text = np.frombuffer(_lines(words.take(pa.array(chosen))), np.uint8)
             yield {"bucket": bucket, "block": row["block"], "payload": _packed(counts[chosen], text)}
         return
     state = _state(row, given, level - 1)
@@ -291,8 +300,11 @@ def _pairs(state: dict, given) -> dict:
     }
 
 
-def _state(row: dict, given, level: int) -> dict:
-    """A block's tokens, probabilities and next contexts to try, once the answers up to ``level`` are in."""
+def _state(row: dict, given, level: int, depth: int | None = None) -> dict:
+    """A block's tokens, probabilities and next contexts to try, once the answers up to ``level`` are in.
+
+    Beyond a level ``depth`` no contexts are tried.
+    """
     tokens, length, where = row["tokens"], row["length"], row["crc"] % given.buckets
     back = _looked_back(length, row["skip"])
     answers = row["answers"][0]
@@ -319,23 +331,26 @@ def _state(row: dict, given, level: int) -> dict:
     for k in range(1, level + 1):
         pairs = _pairs(state, given)
         answers = row["answers"].get(k, {})
-        kept, total, name = (np.zeros(len(pairs["n"]), np.int64) for _ in range(3))
+        total, name = np.zeros((2, len(pairs["n"])), np.int64)
+        kept = np.zeros(len(total), bool)
         for bucket, chosen in _by_bucket(pairs["where"], pairs["order"]):
             bits, totals, names = _unpacked(answers[bucket])
             runs = np.cumsum(np.diff(pairs["context"][chosen], prepend=-1) != 0) - 1
-            kept[chosen] = np.unpackbits(bits.astype(np.uint8))[runs]
+            kept[chosen] = np.unpackbits(bits.astype(np.uint8)).view(bool)[runs]
             total[chosen] = totals
             name[chosen[totals >= given.least]] = names
         tried, back = pairs["tried"], pairs["back"]
-        p = (total[back] + given.prior * state["p"][tried]) / (state["n"][tried] + given.prior)
-        holds = kept[back].astype(bool)
-        state["p"][tried[holds]] = p[holds]
-        below = np.zeros(len(tokens), bool)
-        below[tried[holds]] = True
-        follows = tried + 1
-        use = (follows < len(tokens)) & (total[back] >= given.least)
-        follows, pair = follows[use], back[use]
-        use = below[follows] & ~begins[follows]
+        holds = kept[back]
+        held, pair = tried[holds], back[holds]
+        state["p"][held] = (total[pair] + given.prior * state["p"][held]) / (state["n"][held] + given.prior)
+        if k == depth:
+            break
+        below = np.zeros(len(tokens) + 1, bool)
+        below[held] = True
+        below[:-1] &= ~begins
+        use = below[tried + 1]
+        follows, pair = tried[use] + 1, back[use]
+        use = (total >= given.least)[pair]
         follows, pair = follows[use], pair[use]
         state["tried"] = np.zeros(len(tokens), bool)
         state["tried"][follows] = True
@@ -527,7 +542,7 @@ def _scored(docs: DataFrame, depth, least, prior, gain, block_bytes, bucket_toke
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = _read_block(batches)
-        state = _state(row, _Settings(**settings), depth)
+        state = _state(row, _Settings(**settings), depth, depth)
         use, n = ~state["back"], len(row["length"])
         entry, tokens = np.repeat(np.arange(n), row["length"])[use], state["tokens"][use]
         columns = [
