@@ -49,7 +49,7 @@ ROWS = "block bigint, level int, part int, payload binary, total bigint, kinds b
 MESSAGES = "bucket int, block bigint, payload binary"
 _SPACES = b" \t\n\x0b\x0c\r"
 _BLANK = bytes(32 if byte in _SPACES else 0 for byte in range(256))
-FIELDS = ("row", "doc_id", "no_id", "held_out", "skip", "length", "tokens", "counts", "crc", "words")
+FIELDS = ("row", "doc_id", "no_id", "held_out", "skip", "length", "tokens", "counts", "words")
 SCORES = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
     "base_score double, score double"
@@ -130,7 +130,6 @@ def _block(number: int, entries: list[tuple]) -> Iterator[dict]:
         "length": length,
         "tokens": tokens,
         "counts": np.bincount(tokens[trained], minlength=len(words)),
-        "crc": np.fromiter(map(zlib.crc32, words), np.int64, len(words)),
         "words": np.frombuffer(lines, np.uint8),
     }
     blob = _packed(*(fields[name] for name in FIELDS))
@@ -150,7 +149,9 @@ def _read_block(batches) -> dict:
             else:
                 answers.setdefault(level, {})[part] = payload
     fields = dict(zip(FIELDS, _unpacked(b"".join(parts[i] for i in range(len(parts)))), strict=True))
-    return fields | {"block": block, "answers": answers}
+    words = fields["words"].astype(np.uint8).tobytes().split(b"\n")
+    crc = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+    return fields | {"block": block, "answers": answers, "words": words, "crc": crc}
 
 
 def _looked_back(length: np.ndarray, skip: np.ndarray) -> np.ndarray:
@@ -219,7 +220,7 @@ class _Settings:
 def _requests(row: dict, given, level: int, only_split: bool = False) -> Iterator[dict]:
     """A block's messages of a level, one for each bucket that holds any of its words or pairs."""
     if level == 0:
-        words = pa.array(row["words"].astype(np.uint8).tobytes().split(b"\n"), pa.large_binary())
+        words = pa.array(row["words"], pa.large_binary())
         counts = row["counts"]
         where = row["crc"] % given.buckets
         for bucket, chosen in _by_bucket(where, _stable(where, given.buckets)):
