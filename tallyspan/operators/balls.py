@@ -7,8 +7,9 @@ Two points are no further apart than their balls' centers and both radii: pairs
 of blocks with a bound below a known distance are never compared, and the
 others are compared in rounds, largest bound first, each round raising that
 distance for the next. Rounds send their blocks through a shuffle. Where the
-bounds leave so many pairs that this would be SENT times the table, all others
-are compared in a Cartesian product of written blocks, which shuffles nothing.
+bounds leave so many pairs that this would be more than SENT times the table,
+all others are compared in a Cartesian product of written blocks, which shuffles
+nothing. Only the leading pairs that rounds can compare are written.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ LEAST_ROWS = 4_096
 # A round compares this many pairs of blocks per core, and the next one GROWTH times as many.
 ROUND_PAIRS = 4
 GROWTH = 4
-# Rounds send blocks of this many points for each point of the table.
+# Rounds send at most this many points for each point of the table.
 SENT = 4
 
 
@@ -132,6 +133,7 @@ class Balls:
         self.counts[balls], self.radii[balls] = told["n"].to_numpy(), told["r"].to_numpy()
         self.parts = -(-self.counts[self.tree.leaves] // rows)
         self.first = np.concatenate(([0], np.cumsum(self.parts)))
+        self.sizes = self.counts[self.tree.leaves] / np.maximum(self.parts, 1)  # points of a block of each leaf
         first, parts, leaf_of = self.first, self.parts, self.tree.leaf_of
 
         def deal(batches):
@@ -148,13 +150,15 @@ class Balls:
         self.spark, self.blocks, self.dimension = spark, int(self.first[-1]), dimension
 
     def pairs(self, length: float) -> DataFrame:
-        """``(low, high, upper)`` of the pairs of blocks that may hold a pair of points further apart than ``length``.
+        """``(low, high, upper, points)`` of the pairs of blocks that may hold a pair further apart than ``length``.
 
-        Every leaf goes down the tree from its own side, past the balls that
-        are too close; so the balls in between stand for all that they hold.
+        ``points`` is how many of them a pair of blocks sends. Every leaf goes
+        down the tree from its own side, past the balls that are too close; so
+        the balls in between stand for all that they hold.
         """
         tree, radii, counts, first, parts = self.tree, self.radii, self.counts, self.first, self.parts
-        centers, children, leaves, leaf_of = tree.centers, tree.children, tree.leaves, tree.leaf_of
+        sizes, centers, children = self.sizes, tree.centers, tree.children
+        leaves, leaf_of = tree.leaves, tree.leaf_of
 
         def partners(batches):
             for batch in batches:
@@ -171,15 +175,16 @@ class Balls:
                         a, b = np.arange(first[leaf], first[leaf + 1]), np.arange(first[other], first[other + 1])
                         low, high = np.repeat(a, len(b)), np.tile(b, len(a))
                         low, high = low[low <= high], high[low <= high]
+                        points = sizes[leaf] + np.where(low < high, sizes[other], 0.0)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(low), pa.array(high), pa.array(np.full(len(low), upper))],
-                            names=["low", "high", "upper"],
+                            [pa.array(low), pa.array(high), pa.array(np.full(len(low), upper)), pa.array(points)],
+                            names=["low", "high", "upper", "points"],
                         )
 
         some = np.flatnonzero(parts)
         ids = self.spark.createDataFrame(pa.table({"id": pa.array(some, pa.int64())}))
         tasks = max(1, min(len(some), 4 * self.spark.sparkContext.defaultParallelism))
-        return ids.repartition(tasks).mapInArrow(partners, "low bigint, high bigint, upper double")
+        return ids.repartition(tasks).mapInArrow(partners, "low bigint, high bigint, upper double, points double")
 
     def grouped(self, pairs: DataFrame, count: int, placed: DataFrame | None = None):
         """The points (or those of ``placed``) of ``count`` pairs of blocks; no other block is sent anywhere."""
@@ -193,7 +198,7 @@ class Balls:
 
         Every partition holds one row. The points are shuffled once.
         """
-        sizes = np.repeat(self.counts[self.tree.leaves] / np.maximum(self.parts, 1), self.parts)
+        sizes = np.repeat(self.sizes, self.parts)
         group = np.unique((np.cumsum(sizes) - sizes) // rows, return_inverse=True)[1]
         dealt = pa.table({"block": pa.array(range(self.blocks), pa.int64()), "group": pa.array(group, pa.int32())})
         told = broadcast_if_small(self.spark.createDataFrame(dealt), self.blocks)
@@ -263,24 +268,31 @@ def farthest_distance(points: DataFrame, n: int, length: float) -> tuple[float,
     """The largest distance of two of the ``n`` written points, the pairs of blocks compared, and those there are.
 
     ``length`` is the distance of some pair, or 0. A round returns one number.
-    What is shuffled grows with the points, not with the pairs of blocks.
+    What is shuffled and written grows with the points, not with the pairs of
+    blocks: rounds send at most SENT times the points.
     """
     cores = points.sparkSession.sparkContext.defaultParallelism
     together = -(-n // block_count(n, dimension_of(points), cores))
     balls = Balls(points, n, max(LEAST_ROWS, together // 4))
-    pairs, cut = checkpointed(balls.pairs(length)), None
-    opened, wanted, total = 0, min(ROUND_PAIRS * cores, balls.blocks), balls.blocks * (balls.blocks + 1) // 2
+    most, total = SENT * balls.blocks // 2, balls.blocks * (balls.blocks + 1) // 2
+    upper = F.col("upper")
+    leading = checkpointed(balls.pairs(length).orderBy(F.desc("upper")).limit(most + 1))
+    rest = None  # pairs with this bound or a lower one need not be among the leading
+    if leading.count() > most:
+        rest = leading.agg(F.min("upper")).first()[0]
+        leading = leading.where(upper > rest)
+    opened, sent, cut, wanted = 0, 0.0, None, min(ROUND_PAIRS * cores, balls.blocks)
     while True:
-        below = pairs.where(F.col("upper") * (1 + 1e-9) > length)
-        below = below if cut is None else below.where(F.col("upper") < cut)
+        below = leading.where(upper * (1 + 1e-9) > length)
+        below = below if cut is None else below.where(upper < cut)
         least, some = below.orderBy(F.desc("upper")).limit(wanted).agg(F.min("upper"), F.count("upper")).first()
-        if not some:
+        if not some and (rest is None or rest * (1 + 1e-9) <= length):
             return length, opened, total
-        now = below.where(F.col("upper") >= least)
-        count = now.count()  # with ties, more than were asked for
-        if 2 * (opened + count) > SENT * balls.blocks:
-            length, more = balls.largest(together, length, cut)
-            return length, opened + more, total
+        now = below.where(upper >= least) if some else below
+        count, more = now.agg(F.count("upper"), F.sum("points")).first()  # with ties, more than were asked for
+        if not some or sent + more > SENT * n:
+            length, others = balls.largest(together, length, cut)
+            return length, opened + others, total
         found = compare_blocks(balls.grouped(now, count), 1, (length * (1 - 1e-9)) ** 2)
         length = max(length, found.agg(F.coalesce(F.sqrt(F.max("d2")), F.lit(0.0))).first()[0])
-        opened, cut, wanted = opened + count, least, wanted * GROWTH
+        opened, sent, cut, wanted = opened + count, sent + more, least, wanted * GROWTH

@@ -37,7 +37,7 @@ class TileHeap:
     def __init__(self, points: DataFrame, n: int):
         self.spark = points.sparkSession
         self.balls = Balls(points, n, max(TILE_ROWS, -(-n // TILE_BLOCKS)))
-        tiles = self.balls.pairs(-1.0).toArrow()  # a row per tile
+        tiles = self.balls.pairs(-1.0).drop("points").toArrow()  # a row per tile
         self.low, self.high = tiles["low"].to_numpy(), tiles["high"].to_numpy()
         upper = tiles["upper"].to_numpy() * (1 + 1e-9)
         count = len(upper)

@@ -88,3 +88,31 @@ def test_what_is_sent_grows_with_the_points(make_points, small_blocks, monkeypat
     monkeypatch.setattr(balls.Balls, "grouped", grouped)
     x = cloud(kind, 400, 12)
     assert ts.exact_mpd(make_points(x)).first()[0] == largest(x)
+
+
+def test_rounds_send_at_most_their_share_of_uneven_blocks(spark, small_blocks, monkeypatch):
+    sent, listed = [], []
+    plain, write = balls.Balls.grouped, balls.checkpointed
+
+    def grouped(self, pairs, count, *given):
+        ends = pairs.selectExpr("explode(array_distinct(array(low, high))) AS block")
+        sent.append(ends.join(self.placed, "block").count())
+        return plain(self, pairs, count, *given)
+
+    def checkpointed(df):
+        df = write(df)
+        if "upper" in df.columns:
+            listed.append(df.count())
+        return df
+
+    monkeypatch.setattr(balls.Balls, "grouped", grouped)
+    monkeypatch.setattr(balls, "checkpointed", checkpointed)
+    x = np.concatenate([np.repeat(1.5 * cloud("sphere", 10, 12), 16, 0), cloud("sphere", 150, 12, 2)])
+    x[:160] += np.random.default_rng(3).normal(size=(160, 12)) * 0.6 / np.sqrt(12)
+    table = pa.table({"point_id": np.arange(len(x)), "features": list(x)})
+    points = ts.points_from_table(spark.createDataFrame(table).repartition(3), dimension=12)
+    found, opened, total = balls.farthest_distance(points, len(x), 0.99 * largest(x))
+    assert found == largest(x)
+    assert len(sent) > 1 and sum(sent) <= balls.SENT * len(x)
+    blocks = int(np.sqrt(2 * total))
+    assert opened > max(listed) and max(listed) <= balls.SENT * blocks // 2 + 1
